@@ -18,11 +18,6 @@ def lenient_number(text: Column, sql_type: str) -> Column:
     )
 
 
-def unbindable(text: Column, sql_type: str) -> Column:
-    """True when a leaf is present but cannot be read as a number."""
-    return text.isNotNull() & lenient_number(text, sql_type).isNull()
-
-
 def number_or_zero(text: Column, sql_type: str = "int") -> Column:
     """Integer of ``text`` with every miss read as 0 and JSON ``true`` read as 1."""
     return F.coalesce(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import lenient_number, unbindable
+from ..functions.binding import lenient_number
 from ..functions.timeparts import utc_date
 from ..schemas import READING_AS_TEXT
 
@@ -19,45 +19,51 @@ _LONGS = ("station_id", "s_no", "status_timestamp")
 _INTS = ("humidity", "temperature", "wind_speed")
 
 
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Add columns that later filters cannot be pushed below.
+
+    Catalyst would otherwise repeat the parse, or every cast, inside each filter;
+    the repeated code also outgrows what the JVM compiles.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def decode(arrivals: DataFrame, payload: str = "value") -> DataFrame:
     """Add the typed reading next to the transport columns.
 
     Adds ``station_id, s_no, battery_status, status_timestamp, weather``, plus
     ``parse_failed`` and ``is_null_reading`` (the payload was a literal ``null``).
     Missing numbers are 0, decimals are truncated, unknown fields are ignored.
-
-    The payload goes through ``inline`` so that a later filter cannot be pushed
-    below it, which would parse every message a second time.
     """
-    text = F.from_json(F.col(payload), READING_AS_TEXT, _JSON_OPTIONS)
-    parsed = arrivals.select("*", F.inline(F.array(F.named_struct(F.lit("_t"), text))))
+    value = F.col(payload)
+    text = _once(arrivals, F.from_json(value, READING_AS_TEXT, _JSON_OPTIONS).alias("_t"))
 
     t, weather = F.col("_t"), F.col("_t.weather")
-    null_literal = F.coalesce(F.col(payload).rlike(r"^\s*null\s*$"), F.lit(False))
+    leaves = {name: (t[name], "bigint") for name in _LONGS}
+    leaves |= {name: (weather[name], "int") for name in _INTS}
+    numbers = text.select(
+        "*", *[lenient_number(leaf, kind).alias(f"_{name}")
+               for name, (leaf, kind) in leaves.items()])
+
+    def bound(name: str) -> Column:
+        return F.coalesce(F.col(f"_{name}"), F.lit(0).cast(leaves[name][1])).alias(name)
+
+    null_literal = F.coalesce(F.btrim(value, F.lit(" \t\r\n")) == "null", F.lit(False))
+    battery = t["battery_status"]
     # An object or array where text is expected arrives as its JSON text.
-    nested_battery = t["battery_status"].rlike(r"^[{\[]")
-    broken = t.isNull() | t["_unparsed"].isNotNull() | F.coalesce(nested_battery, F.lit(False))
-    for name in _LONGS:
-        broken = broken | unbindable(t[name], "bigint")
-    for name in _INTS:
-        broken = broken | unbindable(weather[name], "int")
-
-    def bound(leaf: Column, sql_type: str) -> Column:
-        return F.coalesce(lenient_number(leaf, sql_type), F.lit(0).cast(sql_type))
-
-    return parsed.select(
-        *arrivals.columns,
-        bound(t["station_id"], "bigint").alias("station_id"),
-        bound(t["s_no"], "bigint").alias("s_no"),
-        t["battery_status"].alias("battery_status"),
-        bound(t["status_timestamp"], "bigint").alias("status_timestamp"),
-        F.when(
-            weather.isNotNull(),
-            F.struct(*[bound(weather[name], "int").alias(name) for name in _INTS]),
-        ).alias("weather"),
+    nested = F.coalesce(battery.startswith("{") | battery.startswith("["), F.lit(False))
+    broken = t.isNull() | t["_unparsed"].isNotNull() | nested
+    for name, (leaf, _) in leaves.items():
+        broken = broken | (leaf.isNotNull() & F.col(f"_{name}").isNull())
+
+    return _once(
+        numbers,
+        bound("station_id"), bound("s_no"), battery.alias("battery_status"),
+        bound("status_timestamp"),
+        F.when(weather.isNotNull(), F.struct(*map(bound, _INTS))).alias("weather"),
         (broken & ~null_literal).alias("parse_failed"),
         null_literal.alias("is_null_reading"),
-    )
+    ).drop("_t", *[f"_{name}" for name in leaves])
 
 
 def parsed_only(decoded: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], into: str,
     """``row_number()`` per ``keys`` in ``order``, counted block by block.
 
     ``order[0]`` must be an integer column; blocks are ``width`` of it wide.
-    Both sides of the join are partitioned by (keys, block), so the rows move once.
+    The count of earlier rows joins each block as one extra row in front, so the
+    rows move once and null keys are numbered like any other.
     """
     blocked = df.withColumn("_block", block_of(F.col(order[0]), width))
     block = [*keys, "_block"]
@@ -32,11 +33,14 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], into: str,
         blocked.groupBy(*block).agg(F.count("*").alias("_rows"))
         .select(*block, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
-    within = Window.partitionBy(*block).orderBy(*order)
+    both = blocked.unionByName(starts, allowMissingColumns=True)
+    within = Window.partitionBy(*block).orderBy(F.col("_start").isNull(), *order)
     return (
-        blocked.withColumn("_nth", F.row_number().over(within))
-        .join(starts, block)
-        .select(*df.columns, (F.col("_start") + F.col("_nth")).alias(into))
+        both.withColumn("_nth", F.row_number().over(within) - 1)
+        .withColumn("_before", F.first("_start").over(
+            within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .where(F.col("_start").isNull())
+        .select(*df.columns, (F.col("_before") + F.col("_nth")).alias(into))
     )
 
 

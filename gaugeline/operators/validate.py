@@ -47,11 +47,20 @@ def _rules() -> list[tuple[Column, Column]]:
 
 
 def is_valid() -> Column:
-    """True when no rule is violated: plain boolean logic for the hot path."""
-    bad = F.col("is_null_reading") | F.col("parse_failed")
-    for violated, _ in _rules():
-        bad = bad | F.coalesce(violated, F.lit(False))
-    return ~bad
+    """True when no rule is violated: one short comparison per field, no messages.
+
+    A known battery status is neither null nor blank, so that rule needs no test.
+    """
+    weather = F.col("weather")
+    return (
+        ~F.col("parse_failed") & ~F.col("is_null_reading")
+        & (F.col("station_id") > 0) & (F.col("s_no") >= 0)
+        & F.coalesce(F.lower("battery_status").isin(*BATTERY_STATUSES), F.lit(False))
+        & (F.col("status_timestamp") > 0) & weather.isNotNull()
+        & weather["humidity"].between(*HUMIDITY_RANGE)
+        & weather["temperature"].between(*TEMPERATURE_RANGE)
+        & (weather["wind_speed"] >= MIN_WIND_SPEED)
+    )
 
 
 def validation_errors() -> Column:
