@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import lenient_number
 from ..functions.timeparts import utc_date
-from ..schemas import READING_AS_TEXT
+from ..schemas import READING, READING_AS_TEXT
 
 PARSE_FAILED = "JSON parsing failed: payload does not bind to a reading"
 
@@ -36,34 +36,41 @@ def decode(arrivals: DataFrame, payload: str = "value") -> DataFrame:
     Missing numbers are 0, decimals are truncated, unknown fields are ignored.
     """
     value = F.col(payload)
-    text = _once(arrivals, F.from_json(value, READING_AS_TEXT, _JSON_OPTIONS).alias("_t"))
+    strict = arrivals.select("*", F.from_json(value, READING, _JSON_OPTIONS).alias("_strict"))
+    fits = F.col("_strict").isNotNull() & F.col("_strict._unparsed").isNull()
+    parsed = strict.select(
+        "*",
+        F.when(fits, F.col("_strict")).alias("_p"),
+        F.when(~fits, F.from_json(value, READING_AS_TEXT, _JSON_OPTIONS)).alias("_t"))
 
-    t, weather = F.col("_t"), F.col("_t.weather")
-    leaves = {name: (t[name], "bigint") for name in _LONGS}
-    leaves |= {name: (weather[name], "int") for name in _INTS}
-    numbers = text.select(
-        "*", *[lenient_number(leaf, kind).alias(f"_{name}")
-               for name, (leaf, kind) in leaves.items()])
+    p, t = F.col("_p"), F.col("_t")
+    leaves = {name: (p[name], t[name], "bigint") for name in _LONGS}
+    leaves |= {name: (p["weather"][name], t["weather"][name], "int") for name in _INTS}
+    numbers = parsed.select(
+        "*", *[F.coalesce(number, lenient_number(text, kind)).alias(f"_{name}")
+               for name, (number, text, kind) in leaves.items()])
 
     def bound(name: str) -> Column:
-        return F.coalesce(F.col(f"_{name}"), F.lit(0).cast(leaves[name][1])).alias(name)
+        return F.coalesce(F.col(f"_{name}"), F.lit(0).cast(leaves[name][2])).alias(name)
 
     null_literal = F.coalesce(F.btrim(value, F.lit(" \t\r\n")) == "null", F.lit(False))
-    battery = t["battery_status"]
+    battery = F.coalesce(p["battery_status"], t["battery_status"])
     # An object or array where text is expected arrives as its JSON text.
     nested = F.coalesce(battery.startswith("{") | battery.startswith("["), F.lit(False))
-    broken = t.isNull() | t["_unparsed"].isNotNull() | nested
-    for name, (leaf, _) in leaves.items():
-        broken = broken | (leaf.isNotNull() & F.col(f"_{name}").isNull())
+    unbound = t.isNull() | t["_unparsed"].isNotNull()
+    for name, (_, text, _) in leaves.items():
+        unbound = unbound | (text.isNotNull() & F.col(f"_{name}").isNull())
+    broken = nested | (p.isNull() & unbound)
+    has_weather = p["weather"].isNotNull() | t["weather"].isNotNull()
 
     return _once(
         numbers,
         bound("station_id"), bound("s_no"), battery.alias("battery_status"),
         bound("status_timestamp"),
-        F.when(weather.isNotNull(), F.struct(*map(bound, _INTS))).alias("weather"),
+        F.when(has_weather, F.struct(*map(bound, _INTS))).alias("weather"),
         (broken & ~null_literal).alias("parse_failed"),
         null_literal.alias("is_null_reading"),
-    ).drop("_t", *[f"_{name}" for name in leaves])
+    ).drop("_strict", "_p", "_t", *[f"_{name}" for name in leaves])
 
 
 def parsed_only(decoded: DataFrame) -> DataFrame:

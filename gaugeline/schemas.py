@@ -15,11 +15,17 @@ def _struct(**fields: T.DataType) -> T.StructType:
 ARRIVAL = _struct(
     key=_TEXT, value=_TEXT, kafka_partition=_INT, kafka_offset=_LONG, arrival_ts=_TIME)
 
-# Leaves are strings so that type coercion is ours to define (see operators.decode).
-READING_AS_TEXT = _struct(
-    station_id=_TEXT, s_no=_TEXT, battery_status=_TEXT, status_timestamp=_TEXT,
-    weather=_struct(humidity=_TEXT, temperature=_TEXT, wind_speed=_TEXT),
-    _unparsed=_TEXT)
+def _reading(number: T.DataType, small: T.DataType) -> T.StructType:
+    return _struct(
+        station_id=number, s_no=number, battery_status=_TEXT, status_timestamp=number,
+        weather=_struct(humidity=small, temperature=small, wind_speed=small),
+        _unparsed=_TEXT)
+
+
+# A well-typed message binds to the first one. Whatever does not is read again with
+# string leaves, so that type coercion is ours to define (see operators.decode).
+READING = _reading(_LONG, _INT)
+READING_AS_TEXT = _reading(_TEXT, _TEXT)
 
 ARCHIVE_COLUMNS = [
     "station_id", "s_no", "battery_status", "status_timestamp", "humidity",
