@@ -305,10 +305,10 @@ ORACLE: dict[str, str] = {
           'disk full' AS exception_message, station_id, s_no AS sequence_number,
           value AS original_message, 'ARCHIVE_WRITE failed: disk full' AS reason FROM u"""),
     "stream_silent": with_readings("""
-        , y AS (SELECT station_id, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (
+        , y AS (SELECT station_id, copy, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (
               PARTITION BY station_id ORDER BY ts, copy) AS before FROM v),
         z AS (SELECT *, sum(CASE WHEN us - before <= 14400000000 THEN 0 ELSE 1 END) OVER (
-              PARTITION BY station_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS session FROM y)
+              PARTITION BY station_id ORDER BY us, copy ROWS UNBOUNDED PRECEDING) AS session FROM y)
         SELECT station_id, count(*) AS readings, max(us) AS last_seen_us,
           max(us) + 14400000000 AS silent_from_us
         FROM z GROUP BY station_id, session
