@@ -22,6 +22,7 @@ STAGE_LATEST = "LATEST_WRITE"
 STAGE_UNKNOWN = "UNKNOWN"
 
 ARCHIVE_BATCH_ROWS = 10_000
+MAX_OFFSETS_PER_BATCH = 20_000_000
 DEDUP_CAPACITY = 100_000
 HEARTBEAT_MS = 5_000
 HEARTBEAT_TIMEOUT_MS = 15_000
@@ -33,10 +34,14 @@ class PipelineSettings:
 
     ``dedup_horizon`` bounds the de-duplication state: a redelivery later than
     this after the first arrival is accepted again, so keep it above the longest
-    time the transport can take to redeliver.
+    time the transport can take to redeliver. ``collapse_copies`` drops copies
+    inside each task before the shuffle, so that one message redelivered without
+    end cannot fill a task; switch it off where that cannot happen.
+    ``archive_rows_per_task`` bounds what one task writes to one directory.
     """
 
     dedup_horizon: str = "6 hours"
     rain_threshold: int = RAIN_HUMIDITY_THRESHOLD
-    hot_station_splits: int = 1
+    collapse_copies: bool = True
+    archive_rows_per_task: int = 1_000_000
     compact_latest_every: int = 100

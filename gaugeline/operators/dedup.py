@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEDUP_CAPACITY
+from .validate import is_valid
 
 DEDUP_KEY = ("station_id", "s_no")
 
@@ -21,6 +22,25 @@ def keep_first(readings: DataFrame, keys: tuple[str, ...] = DEDUP_KEY) -> DataFr
     return readings.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
+def channel_counts(decoded: DataFrame) -> DataFrame:
+    """How many arrivals are accepted, duplicate or invalid, in one pass.
+
+    Invalid rows share one group without a key; partial aggregation reduces it
+    before the shuffle.
+    """
+    ok = is_valid()
+    groups = decoded.select(ok.alias("ok"), *[F.when(ok, F.col(k)).alias(k) for k in DEDUP_KEY]) \
+        .groupBy("ok", *DEDUP_KEY).agg(F.count("*").alias("n"))
+    good = F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0))
+    keys = F.count_if(F.col("ok"))
+    bad = F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0))
+    totals = groups.agg(F.array(*[
+        F.struct(F.lit(channel).alias("channel"), count.alias("messages"))
+        for channel, count in (("accepted", keys), ("duplicate", good - keys), ("invalid", bad))
+    ]).alias("totals"))
+    return totals.select(F.inline("totals"))
+
+
 def eviction_set(tracked: DataFrame, capacity: int = DEDUP_CAPACITY) -> DataFrame:
     """The oldest tenth of the capacity, when more keys than that are tracked.
 

@@ -54,21 +54,28 @@ def health(heartbeats: DataFrame, as_of_ms: Column, timeout_ms: int = HEARTBEAT_
     )
 
 
-def capture_missed(arrivals: DataFrame, outages: DataFrame, subscriber: Column,
-                   bucket_ms: int = 3_600_000) -> DataFrame:
+BUCKET_MS = 3_600_000
+
+
+def outage_spans(outages: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """One row per outage and time bucket it touches."""
+    first = F.floor(F.col("down_from_ms") / bucket_ms)
+    last = F.floor((F.col("down_to_ms") - 1) / bucket_ms)
+    return outages.select(
+        "subscriber", "down_from_ms", "down_to_ms",
+        F.explode(F.sequence(first, last)).alias("_bucket"))
+
+
+def capture_missed(arrivals: DataFrame, spans: DataFrame, subscriber: Column,
+                   bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Arrivals that came in while their subscriber was down.
 
     The interval join becomes an equi-join on (subscriber, time bucket) plus a
     range test. Outages of one subscriber do not overlap, so an arrival matches
-    at most one. Pass ``outages`` as a written table: Catalyst then knows its
-    size and broadcasts it only below the session's threshold.
+    at most one. Pass the spans as a written table (``session.materialise``):
+    Catalyst then knows their size and broadcasts them only below the session's
+    threshold; above it, AQE splits a bucket that holds too many arrivals.
     """
-    last_bucket = F.floor((F.col("down_to_ms") - 1) / bucket_ms)
-    spans = outages.select(
-        "subscriber", "down_from_ms", "down_to_ms",
-        F.explode(F.sequence(F.floor(F.col("down_from_ms") / bucket_ms), last_bucket))
-        .alias("_bucket"),
-    )
     arrived = F.unix_millis("arrival_ts")
     stamped = arrivals.select(
         "*", subscriber.alias("subscriber"), arrived.alias("_arrived_ms"),

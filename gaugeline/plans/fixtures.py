@@ -16,9 +16,10 @@ from ..operators.decode import decode
 from ..operators.dedup import keep_first
 from ..operators.envelopes import dead_letters
 from ..operators.latest import latest_by_station
-from ..operators.outages import capture_missed, missed_rows, outage_intervals
+from ..operators.outages import capture_missed, missed_rows, outage_intervals, outage_spans
 from ..operators.sequences import number_rows
 from ..operators.validate import accepted
+from ..schemas import LATEST_ENTRY
 from ..session import scratch_path
 from ..sources.archive import archive_rows, write_archive
 from ..sources.arrivals import file_table
@@ -169,7 +170,10 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_by_station(valid(spark, sf_dir))
+    """The stored latest values, for queries that read rather than compute them."""
+    path = once(spark, sf_dir, "latest",
+                lambda p: latest_by_station(valid(spark, sf_dir)).write.parquet(p))
+    return spark.read.schema(LATEST_ENTRY).parquet(path)
 
 
 def expected_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +234,11 @@ def subscriber_of() -> Column:
 
 
 def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture_missed(arrivals(spark, sf_dir), outages(spark, sf_dir), subscriber_of())
+    path = once(spark, sf_dir, "outage-spans",
+                lambda p: outage_spans(outages(spark, sf_dir)).write.parquet(p))
+    spans = spark.read.schema(
+        "subscriber STRING, down_from_ms BIGINT, down_to_ms BIGINT, _bucket BIGINT").parquet(path)
+    return capture_missed(arrivals(spark, sf_dir), spans, subscriber_of())
 
 
 def missed_store(spark: SparkSession, sf_dir: str) -> MissedStore:

@@ -11,14 +11,14 @@ from ..functions.timeparts import readable_stamp, utc_timestamp_text
 from ..operators import browse, latest as latest_ops, metrics, outages as outage_ops, sequences
 from ..operators.alerts import alert_messages, alert_rows
 from ..operators.decode import decode, flatten, parse_failures as failed_to_parse, parsed_only
-from ..operators.dedup import eviction_set, keep_first, older_than
+from ..operators.dedup import channel_counts, eviction_set, keep_first, older_than
 from ..operators.envelopes import invalid_messages
 from ..operators.forecast import normalise_responses
 from ..operators.replay import dead_letters_as_arrivals, missed_as_arrivals, with_replayed
 from ..operators.routing import routed_messages as route
 from ..operators.validate import accepted, error_rows, is_valid, rejected
 from ..schemas import ARCHIVE_COLUMNS
-from ..session import materialise, scratch_path
+from ..session import scratch_path
 from ..sources.archive import archive_rows, compact_archive, read_archive, write_archive
 from ..sources.dead_letters import DeadLetterStore
 from ..sources.latest_store import LatestStore, export_csv, read_csv_export
@@ -75,18 +75,7 @@ def validation_errors(spark, sf_dir):
 
 @query
 def validity_split(spark, sf_dir):
-    """Every arrival is invalid, a duplicate, or accepted."""
-    decoded = fx.decoded(spark, sf_dir)
-    per_key = accepted(decoded).groupBy("station_id", "s_no").agg(F.count("*").alias("n"))
-    good = per_key.agg(
-        F.sum("n").alias("arrived"), F.count("*").alias("accepted")
-    ).select(F.inline(F.array(
-        F.struct(F.lit("accepted").alias("channel"), F.col("accepted").alias("messages")),
-        F.struct(F.lit("duplicate").alias("channel"),
-                 (F.col("arrived") - F.col("accepted")).alias("messages")))))
-    bad = rejected(decoded).agg(F.count("*").alias("messages")).select(
-        F.lit("invalid").alias("channel"), "messages")
-    return good.unionByName(bad)
+    return channel_counts(fx.decoded(spark, sf_dir))
 
 
 @query
@@ -183,7 +172,7 @@ def storage_summary(spark, sf_dir):
 
 @query
 def latest_by_station(spark, sf_dir):
-    return fx.latest(spark, sf_dir).select("key", "value")
+    return latest_ops.latest_by_station(fx.valid(spark, sf_dir)).select("key", "value")
 
 
 @query
@@ -222,8 +211,7 @@ def lookup_hits(spark, sf_dir):
 @query
 def lookup_rows(spark, sf_dir):
     """Every single probe with its value; the stored side is a written table."""
-    stored = materialise(fx.latest(spark, sf_dir).select("key", "value"), "latest-lookup")
-    found = latest_ops.batch_lookup(fx.probes(spark, sf_dir), stored)
+    found = latest_ops.batch_lookup(fx.probes(spark, sf_dir), fx.latest(spark, sf_dir))
     return found.select("key", F.length("value").alias("value_chars"))
 
 

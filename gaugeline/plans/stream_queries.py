@@ -20,7 +20,7 @@ from .queries import query
 
 # Longer than the derived data, so that file order cannot make a row late.
 HORIZON = "60 days"
-SETTINGS = PipelineSettings(dedup_horizon=HORIZON, hot_station_splits=2)
+SETTINGS = PipelineSettings(dedup_horizon=HORIZON)
 DRAIN = {"availableNow": True}
 
 

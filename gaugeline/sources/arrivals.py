@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..config import ARCHIVE_BATCH_ROWS, READINGS_TOPIC
+from ..config import MAX_OFFSETS_PER_BATCH, READINGS_TOPIC
 from ..schemas import ARRIVAL
 
 
 def kafka_options(bootstrap: str, topic: str = READINGS_TOPIC,
-                  max_offsets: int | None = ARCHIVE_BATCH_ROWS,
+                  max_offsets: int | None = MAX_OFFSETS_PER_BATCH,
                   min_partitions: int | None = None) -> dict[str, str]:
     """Options of the Kafka source: earliest on first start, the checkpoint after that.
 
-    ``max_offsets`` caps one micro-batch, not the data. Raise it with the load,
-    and set ``min_partitions`` above the topic's partition count so that one hot
+    ``max_offsets`` caps one micro-batch, not the data; ``config.ARCHIVE_BATCH_ROWS``
+    gives the small batches of a single-node deployment. Set ``min_partitions`` above the topic's partition count so that one hot
     partition is read by several tasks.
     """
     options = {

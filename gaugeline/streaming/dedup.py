@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.decode import decode
@@ -9,14 +13,36 @@ from ..operators.dedup import DEDUP_KEY
 from ..operators.validate import accepted
 
 
-def unique_readings(arrivals: DataFrame, horizon: str) -> DataFrame:
+def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        table = pa.table([batch.column(key) for key in DEDUP_KEY], names=list(DEDUP_KEY))
+        table = table.append_column("row", pa.array(np.arange(batch.num_rows)))
+        first = table.group_by(list(DEDUP_KEY), use_threads=False).aggregate([("row", "min")])
+        if first.num_rows < batch.num_rows:
+            batch = batch.take(first.column("row_min").combine_chunks())
+        yield batch
+
+
+def collapse_copies(readings: DataFrame) -> DataFrame:
+    """Drop copies inside each Arrow batch, before the shuffle.
+
+    Streaming de-duplication has no map-side step of its own: without this, all
+    copies of one message in a micro-batch would go to the same task.
+    """
+    return readings.mapInArrow(_first_copies, readings.schema)
+
+
+def unique_readings(arrivals: DataFrame, horizon: str, collapse: bool = True) -> DataFrame:
     """Valid readings, first seen per (station_id, s_no).
 
     Invalid rows are filtered first and never enter the state. The watermark is
     on arrival time, so readings with an old time of their own are kept; state
     older than ``horizon`` is evicted.
     """
-    return accepted(decode(arrivals)).withWatermark("arrival_ts", horizon) \
+    readings = accepted(decode(arrivals))
+    if collapse:
+        readings = collapse_copies(readings)
+    return readings.withWatermark("arrival_ts", horizon) \
         .dropDuplicatesWithinWatermark(list(DEDUP_KEY))
 
 

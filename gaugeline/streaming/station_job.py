@@ -39,6 +39,7 @@ class FanOut:
                  route_writer: Writer | None = None):
         self.root = root.rstrip("/")
         self.settings = settings
+        self._rows = 0
         self.latest = LatestStore(spark, f"{self.root}/latest")
         self.dead = DeadLetterStore(spark, f"{self.root}/dead-letters")
         self._archive = archive_writer or self._write_archive
@@ -48,6 +49,9 @@ class FanOut:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            self._rows = batch.count()
+            if self._rows == 0:
+                return
             self._route(batch, batch_id)
             archived = self._try(self._archive, batch, batch_id, STAGE_ARCHIVE)
             self._try(self._latest, batch, batch_id, STAGE_LATEST, record=archived)
@@ -76,8 +80,8 @@ class FanOut:
             .parquet(f"{self.root}/routed/batch_id={batch_id}")
 
     def _write_archive(self, batch: DataFrame, batch_id: int) -> None:
-        write_archive(archive_rows(batch), f"{self.root}/archive", batch_id,
-                      splits=self.settings.hot_station_splits)
+        splits = -(-self._rows // self.settings.archive_rows_per_task)
+        write_archive(archive_rows(batch), f"{self.root}/archive", batch_id, splits)
 
     def _write_latest(self, batch: DataFrame, batch_id: int) -> None:
         self.latest.write_batch(batch, batch_id)
@@ -89,7 +93,7 @@ def start_fanout(arrivals: DataFrame, sinks: FanOut, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
     """Start the job. ``trigger={"availableNow": True}`` drains what is there."""
     return (
-        unique_readings(arrivals, sinks.settings.dedup_horizon)
+        unique_readings(arrivals, sinks.settings.dedup_horizon, sinks.settings.collapse_copies)
         .writeStream.queryName("station-fanout").outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))

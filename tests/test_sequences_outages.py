@@ -123,7 +123,7 @@ def test_capture_is_half_open_and_spans_buckets(spark):
         "key STRING, value STRING, kafka_partition INT, kafka_offset BIGINT, ms BIGINT"
     ).selectExpr("key", "value", "kafka_partition", "kafka_offset",
                  "timestamp_millis(ms) AS arrival_ts")
-    got = O.capture_missed(arrivals, outages, F.lit("0"))
+    got = O.capture_missed(arrivals, O.outage_spans(outages), F.lit("0"))
     assert sorted(r.kafka_offset for r in got.collect()) == [1, 2, 3]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan

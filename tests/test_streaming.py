@@ -73,6 +73,29 @@ def test_a_retried_batch_changes_nothing(spark, feed):
     assert sinks.latest.read().count() == 2
 
 
+def test_copies_collapse_before_the_shuffle(spark, feed):
+    path, add = feed
+    add([(1, 1, 50)] * 500 + [(1, 2, 80)], 0)
+    readings = accepted(decode(file_table(spark, path)))
+    rows = dedup.collapse_copies(readings).orderBy("s_no").collect()
+    assert [(r.s_no, r.weather.humidity) for r in rows] == [(1, 50), (2, 80)]
+    assert rows[0].arrival_ts == readings.orderBy("kafka_offset").first().arrival_ts
+
+
+def test_large_batches_split_a_directory(spark, feed):
+    path, add = feed
+    add([(1, n, 50) for n in range(1, 41)], 0)
+    settings = PipelineSettings(archive_rows_per_task=5)
+    # Micro-batches run without AQE, which would merge these few rows again.
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.adaptive.enabled", "false")
+    sinks = FanOut(plain, scratch_path(spark, "t-split"), settings)
+    sinks(accepted(decode(file_table(plain, path))), 0)
+    table = read_archive(spark, f"{sinks.root}/archive")
+    assert table.count() == 40
+    assert table.select(F.input_file_name()).distinct().count() > 1
+
+
 def _broken(batch, batch_id):
     raise OSError("disk full")
 
