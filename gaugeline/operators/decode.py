@@ -19,7 +19,7 @@ _LONGS = ("station_id", "s_no", "status_timestamp")
 _INTS = ("humidity", "temperature", "wind_speed")
 
 
-def _once(df: DataFrame, *columns: Column) -> DataFrame:
+def evaluate_once(df: DataFrame, *columns: Column) -> DataFrame:
     """Add columns that later filters cannot be pushed below.
 
     Catalyst would otherwise repeat the parse, or every cast, inside each filter;
@@ -63,7 +63,7 @@ def decode(arrivals: DataFrame, payload: str = "value") -> DataFrame:
     broken = nested | (p.isNull() & unbound)
     has_weather = p["weather"].isNotNull() | t["weather"].isNotNull()
 
-    return _once(
+    return evaluate_once(
         numbers,
         bound("station_id"), bound("s_no"), battery.alias("battery_status"),
         bound("status_timestamp"),

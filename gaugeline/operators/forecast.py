@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import number_or_zero
+from .decode import evaluate_once
 from .sequences import number_rows
 
 BATTERY = "high"
 _HOUR_US = 3_600_000_000
+_LEAVES = {
+    "humidity": "relative_humidity_2m",
+    "temperature": "temperature_2m",
+    "wind_speed": "wind_speed_10m",
+}
 
 
 def normalise_responses(responses: DataFrame) -> DataFrame:
@@ -17,27 +23,20 @@ def normalise_responses(responses: DataFrame) -> DataFrame:
     Only successful, well-formed responses count; ``s_no`` is their running
     number per station in fetch order. The body is parsed once.
     """
-    body = F.try_parse_json("body")
-    good = (
-        responses.where("status = 200")
-        .select("station_id", F.unix_micros("fetched_at").alias("fetched_us"),
-                body.alias("doc"))
-        .where(F.col("doc").isNotNull())
-    )
-
-    def current(name: str):
-        return number_or_zero(
-            F.try_variant_get("doc", f"$.current.{name}", "string"))
-
-    readings = good.select(
-        "station_id", "fetched_us",
+    fetched = responses.where("status = 200").select(
+        "station_id", F.unix_micros("fetched_at").alias("fetched_us"),
+        F.try_parse_json("body").alias("doc"))
+    leaves = fetched.select(
+        "station_id", "fetched_us", F.col("doc").isNotNull().alias("well_formed"),
+        *[F.try_variant_get("doc", f"$.current.{leaf}", "string").alias(name)
+          for name, leaf in _LEAVES.items()])
+    readings = evaluate_once(
+        leaves,
+        F.col("well_formed").alias("usable"),
         F.floor(F.col("fetched_us") / 1_000_000).alias("status_timestamp"),
-        current("relative_humidity_2m").alias("humidity"),
-        current("temperature_2m").alias("temperature"),
-        current("wind_speed_10m").alias("wind_speed"),
-    )
+        F.struct(*[number_or_zero(F.col(name)).alias(name) for name in _LEAVES]).alias("weather"),
+    ).where("usable").select("station_id", "fetched_us", "status_timestamp", "weather")
     numbered = number_rows(readings, ["station_id"], ["fetched_us"], "s_no", width=_HOUR_US)
     return numbered.select(
         "station_id", "s_no", F.lit(BATTERY).alias("battery_status"), "status_timestamp",
-        F.struct("humidity", "temperature", "wind_speed").alias("weather"),
-    )
+        "weather")

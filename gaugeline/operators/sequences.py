@@ -33,13 +33,14 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], into: str,
         blocked.groupBy(*block).agg(F.count("*").alias("_rows"))
         .select(*block, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
-    both = blocked.unionByName(starts, allowMissingColumns=True)
-    within = Window.partitionBy(*block).orderBy(F.col("_start").isNull(), *order)
+    both = blocked.withColumn("_row", F.lit(True)).unionByName(
+        starts.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    within = Window.partitionBy(*block).orderBy("_row", *order)
     return (
         both.withColumn("_nth", F.row_number().over(within) - 1)
         .withColumn("_before", F.first("_start").over(
             within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .where(F.col("_start").isNull())
+        .where("_row")
         .select(*df.columns, (F.col("_before") + F.col("_nth")).alias(into))
     )
 

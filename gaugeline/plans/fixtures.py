@@ -280,7 +280,7 @@ def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sequence_of_writes(spark: SparkSession, sf_dir: str, parts: int) -> list[DataFrame]:
     """Valid readings cut by arrival into consecutive batches."""
     rows = valid(spark, sf_dir)
-    low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    low, high = arrivals(spark, sf_dir).agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
     step = (high - low) // parts + 1
     return [rows.where((F.col("kafka_offset") >= low + step * n)
                        & (F.col("kafka_offset") < low + step * (n + 1))) for n in range(parts)]
