@@ -9,6 +9,7 @@ from ..operators.alerts import alert_messages
 from ..operators.decode import decode
 from ..operators.envelopes import invalid_messages
 from ..operators.validate import rejected
+from ..sources.channels import kafka_sink_options
 
 
 def start(messages: DataFrame, path: str, checkpoint: str, name: str,
@@ -23,13 +24,13 @@ def start(messages: DataFrame, path: str, checkpoint: str, name: str,
 
 
 def start_to_kafka(messages: DataFrame, bootstrap: str, topic: str, checkpoint: str,
-                   name: str) -> StreamingQuery:
+                   name: str, trigger: dict | None = None) -> StreamingQuery:
     """Append ``messages`` to a topic, at least once."""
     return (
         messages.writeStream.queryName(name).outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .format("kafka").option("kafka.bootstrap.servers", bootstrap)
-        .option("kafka.acks", "all").option("topic", topic).start()
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .format("kafka").options(**kafka_sink_options(bootstrap, topic)).start()
     )
 
 

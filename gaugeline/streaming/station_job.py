@@ -110,10 +110,10 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     return dropped
 
 
-def drain(queries: list[StreamingQuery], timeout_s: int = 60) -> None:
-    """Let running queries finish what has arrived, then stop them."""
+def drain(queries: list[StreamingQuery], timeout_s: int | None = 60) -> None:
+    """Let running queries finish what has arrived, then stop them. The time is
+    per query; None waits until each has drained."""
     for query in queries:
-        if query.isActive:
-            query.awaitTermination(timeout_s)
+        query.awaitTermination(timeout_s)
         if query.isActive:
             query.stop()

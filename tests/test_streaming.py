@@ -11,6 +11,8 @@ from gaugeline.operators.validate import accepted
 from gaugeline.session import scratch_path, streaming_session
 from gaugeline.sources.archive import read_archive
 from gaugeline.sources.arrivals import file_stream, file_table
+from gaugeline.jobs import StationJobs
+from gaugeline.sources.channels import kafka_sink_options
 from gaugeline.streaming import alerts, dedup, silence
 from gaugeline.streaming.station_job import (
     FanOut, drain, dropped_by_watermark, start_fanout,
@@ -146,6 +148,24 @@ def test_side_channels(spark, feed):
     assert counts == {"alerts": 4, "invalid": 1}
 
 
+def test_all_jobs_from_files(spark, feed):
+    path, add = feed
+    add(FIRST + SECOND, 0)
+    root = scratch_path(spark, "t-jobs")
+    jobs = StationJobs(spark, root, SETTINGS, files=path)
+    for _ in range(2):  # a second run finds nothing new
+        drain(jobs.start(DRAIN), timeout_s=None)
+    assert spark.read.parquet(f"{root}/raining-alerts").count() == 7
+    assert spark.read.parquet(f"{root}/weather-invalid-messages").count() == 1
+    assert read_archive(spark, f"{root}/archive").count() == 5
+
+
+def test_kafka_sinks_are_acknowledged():
+    options = kafka_sink_options("host:1", "t")
+    assert options["kafka.acks"] == "all" and options["topic"] == "t"
+    assert "topic" not in kafka_sink_options("host:1")
+
+
 def test_silence_is_strict(spark, arrivals_of, reading_json):
     seconds = [0, 60, 121, 400]
     texts = [reading_json(s_no=n) for n in range(len(seconds))] + [reading_json(station_id=2)]
