@@ -152,8 +152,8 @@ def archive_compacted(spark, sf_dir):
     small, merged = scratch_path(spark, "archive-batches"), scratch_path(spark, "archive-merged")
     rows = archive_rows(fx.unique(spark, sf_dir))
     for batch_id, part in enumerate([rows.where("day <= 15"), rows.where("day > 15")]):
-        write_archive(part, small, batch_id, splits=2)
-    write_archive(rows.where("day > 15"), small, 1, splits=2)
+        write_archive(part, small, batch_id)
+    write_archive(rows.where("day > 15"), small, 1)
     compact_archive(spark, small, merged)
     return read_archive(spark, merged).select(*ARCHIVE_COLUMNS)
 

@@ -26,7 +26,8 @@ DRAIN = {"availableNow": True}
 
 def _source(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     path = fx.arrivals_path(spark, sf_dir)
-    return file_stream(streaming_session(spark), path, files_per_batch)
+    session = streaming_session(spark, spark.sparkContext.defaultParallelism)
+    return file_stream(session, path, files_per_batch)
 
 
 def _to_table(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:

@@ -29,13 +29,19 @@ def build_session(app_name: str = "gaugeline", master: str | None = None,
     return builder.getOrCreate()
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session whose state lives in RocksDB with changelog checkpoints,
-    so state size is bounded by local disk and a lost executor reloads it."""
+    so state size is bounded by local disk and a lost executor reloads it.
+
+    ``state_partitions`` is fixed by a query's first start; by default it is the
+    session's ``spark.sql.shuffle.partitions``.
+    """
     sibling = spark.newSession()
     for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone",
                  "spark.sql.ansi.enabled"):
         sibling.conf.set(name, spark.conf.get(name))
+    if state_partitions:
+        sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     sibling.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     sibling.conf.set(

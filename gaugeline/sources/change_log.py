@@ -9,7 +9,9 @@ from .tables import read_or_empty
 
 
 def write_change_log(entries: DataFrame, path: str) -> None:
-    entries.select("segment", "pos", "key", "value") \
+    """Append entries, rebalanced so that a segment is a few files and a large
+    one is written by several tasks."""
+    entries.select("segment", "pos", "key", "value").hint("rebalance", "segment") \
         .write.mode("append").partitionBy("segment").parquet(path)
 
 

@@ -22,8 +22,14 @@ class DeadLetterStore:
 
     def write(self, rows: DataFrame, batch_id: int | None = None) -> None:
         """Store rows from ``operators.envelopes.dead_letters``. With a
-        ``batch_id`` the write replaces what an earlier try of it left."""
+        ``batch_id`` the write replaces what an earlier try of it left.
+
+        A micro-batch fails at one moment, so its tasks write straight to the one
+        date; a batch of many dates is rebalanced by directory first.
+        """
         leaf = F.lit(_APPENDED if batch_id is None else batch_id).cast("bigint")
+        if batch_id is None:
+            rows = rows.hint("rebalance", "dl_date", "stage")
         rows.withColumn("batch_id", leaf).write \
             .mode("append" if batch_id is None else "overwrite") \
             .option("partitionOverwriteMode", "dynamic") \

@@ -19,9 +19,11 @@ class MissedStore:
         self.root = root.rstrip("/")
 
     def write(self, rows: DataFrame) -> None:
-        """Store rows from ``operators.outages.missed_rows``."""
+        """Store rows from ``operators.outages.missed_rows``, a few files per date
+        however many tasks hold its rows."""
         body = F.to_json(F.struct(*MISSED_BODY.fieldNames()), {"ignoreNullFields": "false"})
         rows.select(base64_line(body).alias("payload"), "missed_date") \
+            .hint("rebalance", "missed_date") \
             .write.mode("append").partitionBy("missed_date").parquet(f"{self.root}/missed")
 
     def _stored(self) -> DataFrame:

@@ -28,6 +28,8 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, sf_dir, duck, name):
     df = contract.queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
         assert rows
