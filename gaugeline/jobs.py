@@ -1,8 +1,4 @@
-"""``spark-submit`` entry: start all station jobs on one session.
-
-    spark-submit gaugeline/jobs.py --root s3a://bucket/station --bootstrap host:9092
-    spark-submit gaugeline/jobs.py --root /data/station --files /data/arrivals --drain
-"""
+"""Start all station jobs on one session (see ``run_jobs.py``)."""
 
 from __future__ import annotations
 
@@ -13,14 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeline.config import (
-    ALERT_JOB_TOPIC, INVALID_TOPIC, READINGS_TOPIC, PipelineSettings,
-)
-from gaugeline.session import build_session, streaming_session
-from gaugeline.sources.arrivals import file_stream, kafka_stream
-from gaugeline.sources.channels import kafka_route_writer
-from gaugeline.streaming import alerts
-from gaugeline.streaming.station_job import FanOut, drain, start_fanout
+from .config import ALERT_JOB_TOPIC, INVALID_TOPIC, READINGS_TOPIC, PipelineSettings
+from .session import build_session, streaming_session
+from .sources.arrivals import file_stream, kafka_stream
+from .sources.channels import kafka_route_writer
+from .streaming import alerts
+from .streaming.station_job import FanOut, drain, start_fanout
 
 
 @dataclass
@@ -77,7 +71,3 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         jobs.start({"processingTime": "10 seconds"})
         spark.streams.awaitAnyTermination()
-
-
-if __name__ == "__main__":
-    main()

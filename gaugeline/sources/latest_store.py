@@ -2,7 +2,8 @@
 
 A micro-batch writes one row per key it saw, so the cost follows the batch and
 not the number of stations. Compaction folds the deltas into a new base; readers
-find the current version in an append-only list, so nothing is replaced in place.
+find the current version in an append-only list, so nothing is replaced in place. Folders of older
+versions are no longer read and can be expired by age.
 """
 
 from __future__ import annotations
