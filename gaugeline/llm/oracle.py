@@ -21,14 +21,14 @@ def _divergence() -> str:
     bins = ", ".join(quoted(w) for w in d.BINS)
 
     def nearest(column: str, refs: str) -> str:
-        return f"""(SELECT min(sqrt(greatest(list_sum(list_transform(list_zip({column}, r.{column}), z ->
+        return f"""(SELECT min(sqrt(greatest(list_sum(list_transform(list_zip(shared.{column}, r.{column}), lambda z:
             (CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END)
             + (CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END))) / 2, 0)))
             FROM {refs} r)"""
 
     def shares(columns: int, column: str) -> str:
         sums = ", ".join(f"sum({column}_n[{i}])" for i in range(1, columns + 1))
-        return f"list_transform([{sums}], v -> v / list_sum([{sums}])) AS {column}"
+        return f"list_transform([{sums}], lambda v: v / list_sum([{sums}])) AS {column}"
 
     def references(name: str, source: str) -> str:
         return f"""{name} AS (SELECT lang, {shares(len(d.CLASSES), 'chars')}, {shares(len(d.BINS) + 1, 'common')}
@@ -42,9 +42,9 @@ def _divergence() -> str:
     listed AS (SELECT *, length(text) - space AS word_chars,
             [length(text) - length(rest), upper, space, mark, symbol,
              length(rest) - upper - space - mark - symbol] AS chars_n,
-            list_transform([{bins}], b -> len(list_filter(words, w -> w = b))) AS hits FROM counted),
+            list_transform([{bins}], lambda b: len(list_filter(words, lambda w: w = b))) AS hits FROM counted),
     windows AS (SELECT row, unnest(generate_series(1, n_words - 2)) AS i,
-            unnest(list_transform(generate_series(1, n_words - 2), i -> list_slice(words, i, i + 2))) AS three
+            unnest(list_transform(generate_series(1, n_words - 2), lambda i: list_slice(words, i, i + 2))) AS three
             FROM listed WHERE n_words >= 3),
     places AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, three) AS c FROM windows)
             WHERE c > 1),
@@ -56,8 +56,8 @@ def _divergence() -> str:
     features AS (SELECT doc_id, lang, n_words, word_chars, symbol AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
             coalesce(r.n, 0) AS n_repeat_words, chars_n, list_append(hits, n_words - list_sum(hits)) AS common_n
             FROM listed LEFT JOIN lines l USING (row) LEFT JOIN repeated r USING (row)),
-    shared AS (SELECT *, list_transform(chars_n, v -> v / greatest(list_sum(chars_n), 1)) AS chars,
-            list_transform(common_n, v -> v / greatest(list_sum(common_n), 1)) AS common,
+    shared AS (SELECT *, list_transform(chars_n, lambda v: v / greatest(list_sum(chars_n), 1)) AS chars,
+            list_transform(common_n, lambda v: v / greatest(list_sum(common_n), 1)) AS common,
             n_words < {d.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM features),
     {references('first_refs', 'shared')},
     far AS (SELECT *, {nearest('chars', 'first_refs')} AS c1, {nearest('common', 'first_refs')} AS w1 FROM shared),
