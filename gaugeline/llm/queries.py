@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import divergence, line_dedup, ngram_join, packing, suffix_decontam, token_store, warc
+from . import (divergence, language_id, line_dedup, ngram_join, packing, quality_gam, suffix_decontam,
+               token_store, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +33,26 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.linked(table(spark, sf_dir, "documents"))
 
 
+def fold(id_col: str, folds: int):
+    """The remainder by which held-out rows are told."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = language_id.identified(docs, fold("doc_id", 5) != 0, carried=["doc_id"])
+    return rows.select("row.doc_id", "lang_pred", "score", "rejected").withColumn(
+        "held_out", fold("doc_id", 5) == 0)
+
+
+@query
+def op3_quality_gam(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality_gam.scored(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2, carried=["doc_id"])
+    return rows.select("row.doc_id", "score", "predicted").withColumn("held_out", fold("doc_id", 4) == 2)
+
+
 @query
 def op4_divergence(spark, sf_dir):
     rows = divergence.judged(table(spark, sf_dir, "documents"), carried=["doc_id"])
