@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import (divergence, language_id, line_dedup, ngram_join, packing, quality_gam, suffix_decontam,
-               token_store, warc)
+from . import (divergence, html_extract, language_id, line_dedup, ngram_join, packing, quality_gam,
+               suffix_decontam, token_store, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,6 +95,12 @@ def op8_warc(spark, sf_dir):
         F.regexp_extract(about, r"refers-to-page: (-?\d+)", 1).try_cast("bigint").alias("refers_to"))
 
 
+@query
+def op9_html_extract(spark, sf_dir):
+    rows = html_extract.extracted(table(spark, sf_dir, "pages"), carried=["page_id", "url"])
+    return rows.select("row.page_id", "row.url", "text", "n_chars")
+
+
 @query
 def op10_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
