@@ -165,6 +165,13 @@ def gram_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return per_doc.mapInArrow(_ordered_sets(percent), _SETS_DDL)
 
 
+#: A prefix n-gram of a document, its place in the order, and its place among those that
+#: other documents have as well.
+TOKEN = ["gram", "doc", "n", "place", "rank"]
+#: The same of the other document of a pair.
+OTHER = {"doc": "a", "n": "m", "place": "there", "rank": "other_rank"}
+
+
 def _tokens(batches):
     for batch in batches:
         docs, n, prefix, alone = (np.asarray(batch.column(c)) for c in ("doc", "n", "prefix", "alone"))
@@ -176,12 +183,14 @@ def _tokens(batches):
         place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate(grams)), pa.array(docs[owner]), pa.array(n[owner]),
-            pa.array((alone[owner] + place + 1).astype(np.int32))], names=["gram", "doc", "n", "place"])
+            pa.array((alone[owner] + place + 1).astype(np.int32)), pa.array((place + 1).astype(np.int32))],
+            names=TOKEN)
 
 
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """The length and the positional filter, on (n, place) and (m, there)."""
-    overlap = (F.least(F.col("place"), F.col("there")) + F.least(
+    """The length and the positional filter. Before a common n-gram only the n-grams that
+    are not a document's own can be common, behind it all may be."""
+    overlap = (F.least("rank", "other_rank") + F.least(
         F.col("n") - F.col("place"), F.col("m") - F.col("there"))).cast("bigint")
     small, large = F.least("n", "m").cast("bigint"), F.greatest("n", "m").cast("bigint")
     return pairs.where((100 * small >= percent * large)
@@ -216,9 +225,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 def _with_leader(tokens: DataFrame, percent: int) -> DataFrame:
     """Every document with the smallest of those that share a prefix n-gram."""
     lead = tokens.groupBy("gram").agg(
-        F.min(F.struct("doc", "n", "place")).alias("lead"), F.count("*").alias("docs")).where(
-        F.col("docs") > 1).select("gram", F.col("lead.doc").alias("a"), F.col("lead.n").alias("m"),
-                                  F.col("lead.place").alias("there"))
+        F.min(F.struct(*TOKEN[1:])).alias("lead"), F.count("*").alias("docs")).where(
+        F.col("docs") > 1).select("gram", *[F.col(f"lead.{c}").alias(OTHER[c]) for c in TOKEN[1:]])
     pairs = tokens.join(lead, "gram").where(F.col("doc") != F.col("a"))
     return _possible(pairs, percent).select("a", F.col("doc").alias("b")).distinct()
 
@@ -234,15 +242,15 @@ def _labelled(tokens: DataFrame, links: DataFrame) -> DataFrame:
 
 def links_between(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (``a``, ``b``) that connect all documents that any links connect."""
-    tokens = materialise(sets.mapInArrow(_tokens, "gram bigint, doc bigint, n int, place int"), "prefixes")
+    tokens = materialise(sets.mapInArrow(
+        _tokens, "gram bigint, doc bigint, n int, place int, rank int"), "prefixes")
     first = _with_leader(tokens, percent)
     links = materialise(verified(first, sets, percent), "links")
     rest = _labelled(tokens, links)
-    second = _with_leader(rest.where(F.col("component") != F.col("low")).select(
-        "gram", "doc", "n", "place"), percent)
+    second = _with_leader(rest.where(F.col("component") != F.col("low")).select(*TOKEN), percent)
     links = materialise(links.unionByName(verified(second, sets, percent)), "links")
-    rest = _labelled(rest.select("gram", "doc", "n", "place"), links)
-    other = rest.select("gram", F.col("doc").alias("a"), F.col("n").alias("m"), F.col("place").alias("there"),
+    rest = _labelled(rest.select(*TOKEN), links)
+    other = rest.select("gram", *[F.col(c).alias(name) for c, name in OTHER.items()],
                         F.col("component").alias("beyond"))
     pairs = rest.join(other, "gram").where((F.col("a") < F.col("doc")) & (F.col("beyond") != F.col("component")))
     pairs = _possible(pairs, percent).select("a", F.col("doc").alias("b")).distinct()
