@@ -27,6 +27,8 @@ no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+import operator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,9 +124,9 @@ def _required(n: np.ndarray | int, percent: int):
     return -(-percent * n // 100)
 
 
-_SETS_DDL = "doc bigint, n int, prefix int, alone int, digest binary, grams binary, parts binary"
+_SETS_DDL = "doc bigint, n int, prefix int, alone int, digest binary, grams binary, parts array<int>"
 _SETS = pa.schema([("doc", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("alone", pa.int32()),
-                   ("digest", pa.binary()), ("grams", pa.binary()), ("parts", pa.binary())])
+                   ("digest", pa.binary()), ("grams", pa.binary()), ("parts", pa.list_(pa.int32()))])
 
 
 def _ordered_sets(percent: int):
@@ -142,8 +144,10 @@ def _ordered_sets(percent: int):
                     continue
                 grams = found["gram"][np.lexsort((found["gram"], found["count"]))]
                 parts = np.bincount((grams & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
-                out.append((doc, n, min(prefix, len(grams)), alone, hashlib.md5(found["gram"].tobytes()).digest(),
-                            grams.tobytes(), parts.astype("<u4").tobytes()))
+                # A set with n-grams of its own equals no other.
+                name = found["gram"].tobytes() if not alone else b"own %d" % doc
+                out.append((doc, n, min(prefix, len(grams)), alone, hashlib.md5(name).digest(),
+                            grams.tobytes(), parts.astype(np.int32)))
             columns = list(zip(*out)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _SETS)], schema=_SETS)
@@ -197,12 +201,17 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
                        & ((100 + percent) * overlap >= percent * (small + large)))
 
 
+def _overlapping(pairs: DataFrame, percent: int) -> DataFrame:
+    """The suffix filter, on ``parts`` and ``other_parts``."""
+    bound = reduce(operator.add, [F.least(F.col("parts")[i], F.col("other_parts")[i]) for i in range(PARTS)])
+    return pairs.where((100 + percent) * bound.cast("bigint") >= percent * (F.col("n") + F.col("m")).cast("bigint"))
+
+
 def _verifier(percent: int):
     def run(batches):
         for batch in batches:
             a, b, n, m = (np.asarray(batch.column(c), np.int64) for c in ("a", "b", "n", "m"))
-            parts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, PARTS)
-                     for c in ("parts_a", "parts_b")]
+            parts = [batch.column(c).flatten().to_numpy().reshape(-1, PARTS) for c in ("parts_a", "parts_b")]
             least = -(-percent * (n + m) // (100 + percent))
             near = np.minimum(*parts).sum(axis=1) >= least  # the suffix filter
             grams = [batch.column(c) for c in ("grams_a", "grams_b")]
@@ -250,10 +259,12 @@ def links_between(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     second = _with_leader(rest.where(F.col("component") != F.col("low")).select(*TOKEN), percent)
     links = materialise(links.unionByName(verified(second, sets, percent)), "links")
     rest = _labelled(rest.select(*TOKEN), links)
-    other = rest.select("gram", *[F.col(c).alias(name) for c, name in OTHER.items()],
+    # A large group that shares a passage and nothing else must not give all its pairs.
+    rest = materialise(rest.join(sets.select("doc", "parts"), "doc"), "split-grams")
+    other = rest.select("gram", F.col("parts").alias("other_parts"), *[F.col(c).alias(name) for c, name in OTHER.items()],
                         F.col("component").alias("beyond"))
     pairs = rest.join(other, "gram").where((F.col("a") < F.col("doc")) & (F.col("beyond") != F.col("component")))
-    pairs = _possible(pairs, percent).select("a", F.col("doc").alias("b")).distinct()
+    pairs = _overlapping(_possible(pairs, percent), percent).select("a", F.col("doc").alias("b")).distinct()
     return materialise(links.unionByName(verified(pairs, sets, percent)), "links")
 
 
