@@ -40,7 +40,7 @@ from .shingles import WORDS, shingle_sets
 
 PERCENT = 80
 #: Text bytes whose n-grams share a bucket.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES, LEAST_BUCKETS = 16_000_000, 64
 CHUNK_CHARS = 1_000_000
 PARTS = 32
 
@@ -161,7 +161,7 @@ def gram_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(docs[id_col].cast("bigint").alias("doc"), docs[text_col].alias("text")).where(
         F.col("doc").isNotNull())
     volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), volume // BUCKET_BYTES + 1)
+    buckets = max(LEAST_BUCKETS, volume // BUCKET_BYTES + 1)
     sent = rows.mapInArrow(_sender(buckets, words), _SENT_DDL)
     back = sent.groupBy("bucket").applyInArrow(_repeated, "doc bigint, n int, grams binary")
     per_doc = back.groupBy("doc", "n").agg(
@@ -224,7 +224,10 @@ def _verifier(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) that link."""
+    """Those of the pairs (``a``, ``b``) that link. Only sets in some pair are moved."""
+    pairs = materialise(pairs, "pairs")
+    inside = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+    sets = materialise(sets.join(materialise(inside, "paired"), "doc", "left_semi"), "paired-sets")
     side = lambda x, n: sets.select(F.col("doc").alias(x), F.col("n").alias(n), F.col("grams").alias(
         f"grams_{x}"), F.col("parts").alias(f"parts_{x}"))
     return pairs.join(side("a", "n"), "a").join(side("b", "m"), "b").mapInArrow(
