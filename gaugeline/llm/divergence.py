@@ -166,9 +166,15 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
            carried: list[str] | None = None) -> DataFrame:
     """``row`` (see ``measured``), its counts, ``base_failed``, both distances (null where a guard holds
     the comparison back) and ``kept``."""
-    # Written once: the texts are gone through a single time.
-    rows = materialise(measured(docs, text_col, lang_col, carried), "measured")
-    found = references(rows)
+    rows = measured(docs, text_col, lang_col, carried)
+    if carried and text_col not in carried:
+        # Small rows are written once and the texts gone through a single time. Whole
+        # rows are measured twice instead of copied.
+        rows = materialise(rows, "measured")
+        found = references(rows)
+    else:
+        found = references(materialise(rows.where(F.col("n_words") >= MIN_WORDS).select(
+            "lang", "n_words", "chars", "common"), "histograms"))
     if found:
         compared = F.col("lang").isin([r["lang"] for r in found])
         char_distance = F.when(compared & (F.col("word_chars") >= MIN_CHARS),
