@@ -16,7 +16,7 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Pieces remembered by one worker process.
-MEMORY = 1_500_000
+MEMORY = 1_000_000
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
