@@ -21,7 +21,7 @@ def normalise_responses(responses: DataFrame) -> DataFrame:
     """``(station_id, fetched_at, status, body)`` to reading columns.
 
     Only successful, well-formed responses count; ``s_no`` is their running
-    number per station in fetch order. The body is parsed once.
+    number per station in fetch order. Numbering reads the responses twice.
     """
     fetched = responses.where("status = 200").select(
         "station_id", F.unix_micros("fetched_at").alias("fetched_us"),

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def op_latency(timings: DataFrame) -> DataFrame:
-    """Count, average, bounds and throughput per operation."""
+    """Count, average, bounds and throughput per operation; the throughput is null
+    when all timings are 0."""
     return timings.groupBy("op").agg(
         F.count("*").alias("ops"),
         F.sum("ns").alias("total_ns"),
         (F.sum("ns") / F.count("*")).alias("avg_ns"),
         F.min("ns").alias("min_ns"),
         F.max("ns").alias("max_ns"),
-        (F.count("*") / (F.sum("ns") / 1e9)).alias("ops_per_second"),
+        F.try_divide(F.count("*"), F.sum("ns") / 1e9).alias("ops_per_second"),
     )
 
 
@@ -48,7 +49,7 @@ def station_counts(readings: DataFrame) -> DataFrame:
 
 
 def battery_share(readings: DataFrame) -> DataFrame:
-    """Share of each battery status per station, as a fraction of the station's rows."""
+    """Share of each battery status per station, in percent of the station's rows."""
     counts = readings.groupBy("station_id", "battery_status").agg(F.count("*").alias("n"))
     station = Window.partitionBy("station_id")
     return counts.select(

@@ -57,9 +57,14 @@ def _ordered_blocks(sent: DataFrame, width: int) -> tuple[DataFrame, list[str]]:
         ["station_id", "_block"]
 
 
+def _distance(low: str, high: str) -> Column:
+    """Exact difference: any two 64-bit numbers are valid sequence numbers."""
+    return F.col(high).cast("decimal(20,0)") - F.col(low).cast("decimal(20,0)")
+
+
 def gap_list(sent: DataFrame, width: int = BLOCK_ROWS) -> DataFrame:
     """Every missing run of ``s_no`` per station, in arrival order. A number
-    that falls starts a new run and is no gap."""
+    that falls starts a new run and is no gap. ``missing`` is null beyond 64 bits."""
     blocked, block = _ordered_blocks(sent, width)
     within = Window.partitionBy(*block).orderBy("kafka_offset")
     inside = blocked.select(
@@ -73,18 +78,19 @@ def gap_list(sent: DataFrame, width: int = BLOCK_ROWS) -> DataFrame:
         "station_id", F.lag("last").over(across).alias("before"), F.col("first").alias("after"))
     return (
         inside.unionByName(between)
-        .where(F.col("after") - F.col("before") > 1)
+        .where(_distance("before", "after") > 1)
         .select(
             "station_id",
             (F.col("before") + 1).alias("gap_from"),
             (F.col("after") - 1).alias("gap_to"),
-            (F.col("after") - F.col("before") - 1).alias("missing"),
+            (_distance("before", "after") - 1).try_cast("bigint").alias("missing"),
         )
     )
 
 
 def lost_readings(sent: DataFrame, width: int = BLOCK_ROWS) -> DataFrame:
-    """Per station and run: first and last number, how many came, how many are lost."""
+    """Per station and run: first and last number, how many came, how many are lost
+    (null beyond 64 bits)."""
     blocked, block = _ordered_blocks(sent, width)
     within = Window.partitionBy(*block).orderBy("kafka_offset")
     fell = F.when(F.lag("s_no").over(within) > F.col("s_no"), 1).otherwise(0)
@@ -113,7 +119,7 @@ def lost_readings(sent: DataFrame, width: int = BLOCK_ROWS) -> DataFrame:
         F.min("low").alias("first_s_no"),
         F.max("high").alias("last_s_no"),
         F.sum(F.col("received") - F.col("_again")).alias("received"),
-    ).withColumn("lost", F.col("last_s_no") - F.col("first_s_no") + 1 - F.col("received"))
+    ).withColumn("lost", (_distance("first_s_no", "last_s_no") + 1 - F.col("received")).try_cast("bigint"))
 
 
 def key_conflicts(readings: DataFrame) -> DataFrame:

@@ -18,9 +18,7 @@ from ..streaming.station_job import FanOut, start_fanout
 from . import fixtures as fx
 from .queries import query
 
-# Longer than the derived data, so that file order cannot make a row late.
-HORIZON = "60 days"
-SETTINGS = PipelineSettings(dedup_horizon=HORIZON)
+SETTINGS = PipelineSettings()
 DRAIN = {"availableNow": True}
 
 
@@ -59,7 +57,7 @@ def stream_invalid(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    readings = dedup.unique_readings(_source(spark, sf_dir, files_per_batch=4), HORIZON)
+    readings = dedup.unique_readings(_source(spark, sf_dir, files_per_batch=4), SETTINGS.dedup_horizon)
     return _to_table(spark, readings.select(*DEDUP_KEY, "value"), "stream-dedup")
 
 

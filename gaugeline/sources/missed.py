@@ -37,24 +37,24 @@ class MissedStore:
             .where(F.col("kafkaOffset").isNotNull())
 
     def all(self) -> DataFrame:
-        return self._opened(self._stored())
+        """What is stored and not cleared."""
+        return self.pending()
 
     def by_date(self, date: str) -> DataFrame:
-        """One date in storage order."""
-        return self._opened(self._stored().where(F.col("missed_date") == date)) \
-            .orderBy("missedAtTimestamp", "kafkaOffset", "kafkaPartition")
+        """What is not cleared of one date, in storage order."""
+        return self.pending(date).orderBy("missedAtTimestamp", "kafkaOffset", "kafkaPartition")
 
     def since(self, epoch_ms: int) -> DataFrame:
-        """Everything missed at or after a moment, in replay order. Whole dates
-        before it are pruned."""
-        first = utc_date_text(F.lit(epoch_ms))
-        return self._opened(self._stored().where(F.col("missed_date") >= first)) \
+        """What was missed at or after a moment and is not cleared, in replay order.
+        Whole dates before it are pruned."""
+        recent = F.col("missed_date") >= utc_date_text(F.lit(epoch_ms))
+        return self._uncleared(self._stored().where(recent), self.replayed().where(recent)) \
             .where(F.col("missedAtTimestamp") >= epoch_ms) \
             .orderBy("kafkaPartition", "kafkaOffset")
 
     def counts(self) -> DataFrame:
-        """Messages per date; only the partition column is read."""
-        return self._stored().groupBy("missed_date").agg(F.count("*").alias("messages"))
+        """Messages per date that are not cleared."""
+        return self.pending().groupBy("missed_date").agg(F.count("*").alias("messages"))
 
     def mark_replayed(self, messages: DataFrame) -> None:
         """Clear exactly the messages that were replayed."""
@@ -70,6 +70,9 @@ class MissedStore:
         if date is not None:
             stored = stored.where(F.col("missed_date") == date)
             done = done.where(F.col("missed_date") == date)
+        return self._uncleared(stored, done)
+
+    def _uncleared(self, stored: DataFrame, done: DataFrame) -> DataFrame:
         return self._opened(stored).join(done.select(*ID_COLUMNS), ID_COLUMNS, "left_anti")
 
     def clear_date(self, date: str) -> int:

@@ -36,14 +36,16 @@ def unique_readings(arrivals: DataFrame, horizon: str, collapse: bool = True) ->
     """Valid readings, first seen per (station_id, s_no).
 
     Invalid rows are filtered first and never enter the state. The watermark is
-    on arrival time, so readings with an old time of their own are kept; state
-    older than ``horizon`` is evicted.
+    on the time of the micro-batch, which a retried batch keeps: no row is ever
+    late, however old its own or its arrival time is. A key is forgotten when it
+    was first seen more than ``horizon`` ago.
     """
     readings = accepted(decode(arrivals))
     if collapse:
         readings = collapse_copies(readings)
-    return readings.withWatermark("arrival_ts", horizon) \
-        .dropDuplicatesWithinWatermark(list(DEDUP_KEY))
+    return readings.withColumn("seen_at", F.current_timestamp()) \
+        .withWatermark("seen_at", horizon) \
+        .dropDuplicatesWithinWatermark(list(DEDUP_KEY)).drop("seen_at")
 
 
 def tracked_keys(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:

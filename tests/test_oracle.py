@@ -1,5 +1,6 @@
 """Every registered query against DuckDB on the smallest tables."""
 
+import glob
 import os
 import sys
 
@@ -17,7 +18,9 @@ ORACLES = contract.oracle_sql()
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{sf_dir}/events.parquet'")
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     return connection
 
 

@@ -148,6 +148,10 @@ def test_missed_store(spark, readings):
     assert store.clear_date("2024-05-20") == 4
     assert store.clear_date("2024-05-20") == 0
     assert store.pending().count() == 4 and store.replayed().count() == 4
+    assert store.by_date("2024-05-20").count() == 0 and store.all().count() == 4
+    assert [r.kafkaOffset for r in store.since(day[2].missedAtTimestamp).collect()] == [7]
+    assert {r.missed_date: r.messages for r in store.counts().collect()} == {
+        "2024-05-19": 3, "2024-05-21": 1}
     again = missed_as_arrivals(store.pending(), F.current_timestamp())
     assert accepted(decode(again)).count() == 4
 
