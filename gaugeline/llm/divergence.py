@@ -173,6 +173,9 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         rows = materialise(rows, "measured")
         found = references(rows)
     else:
+        # Filters are not pushed below a generator; pushed into the measures they would
+        # repeat them inside one another, and planning would not end.
+        rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
         found = references(materialise(rows.where(F.col("n_words") >= MIN_WORDS).select(
             "lang", "n_words", "chars", "common"), "histograms"))
     if found:
