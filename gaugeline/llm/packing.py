@@ -29,7 +29,7 @@ from .tokens import encoder
 
 WINDOW, MAX_OPEN, END = 1024, 1024, 0
 #: Texts encoded together, in characters.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 400_000
 
 _COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
