@@ -2,9 +2,9 @@
 
 All training texts are counted: every character four-gram, per language, reduced per
 task before the one shuffle. Lower orders follow from the four-grams as continuation
-counts. A language keeps the four-grams that make up at least ``min_share`` of its own,
-so a model has at most ``1 / min_share`` entries whatever the corpus; estimates and
-lookup arrays are built from these on the driver and broadcast.
+counts. Every four-gram is kept, however rare, so a model grows with the different
+four-grams of the corpus; estimates and lookup arrays are built from these on the driver
+and broadcast.
 
 A model is a set of sorted arrays of packed n-grams, one per order, with the log2
 probability under each language. A text is scored at each character by binary search in
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-ORDER, MIN_SHARE = 4, 2e-7
+ORDER = 4
 #: The calibration sample: texts, the quantile of their entropies, and the slack for short texts.
 SAMPLE, QUANTILE, SLACK = 2_000, 0.995, 6.0
 CHUNK_CHARS = 500_000
@@ -85,13 +85,10 @@ def _counter(batches):
                 by_lang, size = {}, 0
 
 
-def gram_counts(rows: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """``lang``, ``gram``, ``n`` of the four-grams that reach ``min_share`` of their language."""
-    counts = rows.select("lang", "text").mapInArrow(_counter, "lang string, gram bigint, n bigint").groupBy(
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """``lang``, ``gram``, ``n`` of all four-grams."""
+    return rows.select("lang", "text").mapInArrow(_counter, "lang string, gram bigint, n bigint").groupBy(
         "lang", "gram").agg(F.sum("n").alias("n"))
-    # One row per language, so this side is small.
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "lang").where(F.col("n") >= min_share * F.col("total")).select("lang", "gram", "n")
 
 
 def _kneser_ney(keys: np.ndarray, counts: np.ndarray) -> list[tuple]:

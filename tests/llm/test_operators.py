@@ -220,6 +220,20 @@ def test_models_on_held_out_rows(spark, sf_dir):
     assert right >= 0.9 * n
 
 
+def test_language_models_keep_rare_four_grams(spark):
+    """Beyond 5 million four-grams a language, those seen once or twice count as well."""
+    texts = ["word " * 12_000] * 100 + ["quiz jump", "jump"]
+    rows = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(8)
+    want = defaultdict(int)
+    for text, times in (("word " * 12_000, 100), ("quiz jump", 1), ("jump", 1)):
+        spelled = "\0\0\0" + "\0".join(text.split()) + "\0"
+        for i in range(len(spelled) - 3):
+            want[sum(ord(c) << 16 * (3 - k) for k, c in enumerate(spelled[i:i + 4]))] += times
+    found = {r["gram"]: r["n"] for r in language_id.gram_counts(rows).collect()}
+    assert sum(found.values()) > 5_000_000 and {1, 2} <= set(found.values())
+    assert {k % 2 ** 64: n for k, n in found.items()} == want
+
+
 def test_models_on_odd_rows(spark, odd):
     found = language_id.identified(odd, F.lit(True)).select("row.doc_id", "lang_pred", "score").collect()
     assert len(found) == 7 and all(0 <= r["score"] <= 1 for r in found)
