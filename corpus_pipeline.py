@@ -19,8 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops boilerplate lines of a source; ``n_chars`` follows the text."""
-    rows = line_dedup.cleaned(docs)
+    """Drops boilerplate lines of a source; ``n_chars`` follows the text.
+
+    Copies count as one page: their lines stay, and the next stage keeps one of them.
+    """
+    rows = line_dedup.cleaned(docs, copies_once=True)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
     return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 

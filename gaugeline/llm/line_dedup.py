@@ -9,9 +9,12 @@ A host's boilerplate is bounded: at most (lines per page) / ``max_ratio`` lines,
 it is held as one array per host, however many pages the host has. Lines are counted
 by their 64-bit hash.
 
-Edge cases: a null text stays null with no lines; a null host is a host of its own;
-repeated rows count as pages of their own; other columns, whatever their names, are
-carried along; no rows give no rows.
+Repeated rows count as pages of their own. With ``copies_once`` the rows of a host that
+have the same text (told by its hash) count as one page instead, in the share and in the
+number of pages, so that a large group of copies doesn't make boilerplate of its own text.
+
+Edge cases: a null text stays null with no lines; a null host is a host of its own; other
+columns, whatever their names, are carried along; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -28,13 +31,16 @@ def _line_hash(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``host``, ``hashes``: the lines to drop, for hosts that have any."""
     pages = docs.select(
         F.coalesce(docs[host_col].cast("string"), F.lit("")).alias("host"),
         F.array_distinct(F.transform(
             F.filter(F.split(docs[text_col], "\n"), lambda line: F.trim(line) != ""), _line_hash)
-        ).alias("hashes"))
+        ).alias("hashes"), *[F.xxhash64(docs[text_col]).alias("page")] * copies_once)
+    if copies_once:
+        # Partial results per task here as well: a group of copies sends few rows.
+        pages = pages.groupBy("host", "page").agg(F.first("hashes").alias("hashes"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     # Partial sums per task: a line on every page of a hot host sends few rows.
     counts = pages.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(
@@ -44,11 +50,11 @@ def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source
 
 
 def cleaned(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-            max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+            max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``row`` (the input row), ``text`` without boilerplate, ``n_lines``, ``n_dropped``."""
     # A written table tells Spark its size: it is broadcast only below the threshold,
     # else hot hosts are split by the adaptive skew join.
-    drops = materialise(boilerplate(docs, text_col, host_col, max_ratio, min_pages), "boilerplate")
+    drops = materialise(boilerplate(docs, text_col, host_col, max_ratio, min_pages, copies_once), "boilerplate")
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
         docs[text_col].alias("text"),

@@ -256,6 +256,20 @@ def test_native_operators_on_odd_rows(spark, odd):
     assert line_dedup.cleaned(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_of_a_large_group_of_copies(spark):
+    """A third of a host's pages are copies: their lines stay in the pipeline, the menu goes."""
+    copy = "Home\n" + "\n".join(f"the {k}. line of a page with many copies" for k in range(9))
+    rows = [(k, copy if k % 3 == 0 else f"Home\nfirst of {k}\nsecond of {k}", "s", 1) for k in range(90)]
+    rows += [(100 + k, None, "s", 0) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int").repartition(4)
+    found = corpus_pipeline.without_boilerplate(spark, docs, "").collect()
+    want = {d: text and text.removeprefix("Home\n") for d, text, *_ in rows}
+    assert len(found) == len(rows) and {r["doc_id"]: r["text"] for r in found} == want
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in found)
+    # As in the SQL, the operator by itself counts rows.
+    assert {r["text"] for r in line_dedup.cleaned(docs).where("row.doc_id % 3 = 0 AND row.doc_id < 90").collect()} == {""}
+
+
 def test_pipeline(spark, sf_dir):
     """Kept documents and their ids, each stage redone by other means."""
     duck = duckdb.connect()
