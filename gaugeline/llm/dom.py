@@ -84,9 +84,10 @@ def parsed(page: str | None) -> Node:
             elif name == "a" and links:
                 links -= 1
         del stack[position:]
-        for name, own in stack:
+        for _, own in reversed(stack):
             if own is not None:
                 node = own
+                break
 
     for match in _TOKEN.finditer(page):
         if match.start() < at:
@@ -184,12 +185,19 @@ def blocks(node: Node, kept) -> list[str]:
         if joined:
             out.append(joined)
         run.clear()
-    for part in node.parts:
-        if isinstance(part, str):
-            if kept(node):
-                run.append(part)
+    # Open nodes with what is left of their parts: pages may nest to any depth.
+    stack = [(node, iter(node.parts))]
+    while stack:
+        node, parts = stack[-1]
+        for part in parts:
+            if isinstance(part, str):
+                if kept(node):
+                    run.append(part)
+            else:
+                flush()
+                stack.append((part, iter(part.parts)))
+                break
         else:
             flush()
-            out += blocks(part, kept)
-    flush()
+            stack.pop()
     return out

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import pickle
 import random
-import sys
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +29,6 @@ from pyspark.sql import DataFrame, functions as F
 from .dom import Node, blocks, parsed
 
 LAYOUTS, TREES, DEPTH, RATE, BINS = 400, 60, 4, 0.2, 32
-#: Pages may nest deeply; decoding follows the nesting.
-RECURSION = 20_000
 
 # Words that tell what an element holds, by kind.
 KINDS = {
@@ -301,7 +298,6 @@ def decoded(nodes: list[Node], log_odds: np.ndarray) -> np.ndarray:
 
 
 def main_texts(model: Boosted, pages: list[str | None]) -> list[str]:
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), RECURSION))
     roots = [parsed(p) for p in pages]
     found = [node_features(root) for root in roots]
     odds = model.log_odds(np.concatenate([x for _, x in found])) if found else np.zeros(0)

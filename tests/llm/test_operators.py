@@ -210,6 +210,17 @@ def test_html(spark, sf_dir):
     assert texts[1] == [want, want] and texts[2] == texts[3] == [""] and len(texts) == 5
 
 
+def test_html_of_any_depth():
+    model, depth = html_extract.trained(40), 50_000
+    pages = ["<div>" * depth + "deep", "<div>" * depth + "deep" + "</div>" * depth + "<p>last</p>", "<p>flat</p>"]
+    texts = html_extract.main_texts(model, pages)
+    assert len(texts) == 3 and all(isinstance(t, str) for t in texts)
+    for page, want in zip(pages, (["deep"], ["deep", "last"], ["flat"])):
+        assert html_extract.blocks(html_extract.parsed(page), lambda node: True) == want
+    page = "a<div>b<p>c<b>d</b></p>e<div></div>f</div>g<ul><li>h<li>i</ul>"
+    assert html_extract.blocks(html_extract.parsed(page), lambda node: node.tag != "p") == ["a", "b", "e", "f", "g", "h", "i"]
+
+
 def test_models_on_held_out_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     langs = QUERIES["op2_language_id"](spark, sf_dir).where("held_out").join(docs, "doc_id")
