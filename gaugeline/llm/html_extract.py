@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import pickle
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,7 @@ def node_features(root: Node) -> tuple[list[Node], np.ndarray]:
     tags = np.full((n, 3), len(TAGS), float)
     within = np.zeros((n, 5))
     shape = np.zeros((n, 6))
+    alike = [Counter(child.tag for child in node.children) for node in nodes]
     for node in nodes:
         k, parent = node.index, node.parent
         tags[k, 0] = _TAG.get(node.tag, len(TAGS))
@@ -83,8 +85,7 @@ def node_features(root: Node) -> tuple[list[Node], np.ndarray]:
             if node.place + 1 < len(parent.children):
                 tags[k, 2] = _TAG.get(parent.children[node.place + 1].tag, len(TAGS))
             siblings = len(parent.children)
-            alike = sum(s.tag == node.tag for s in parent.children) if siblings <= 200 else siblings
-            shape[k] = (node.depth, node.place / siblings, siblings, alike / siblings,
+            shape[k] = (node.depth, node.place / siblings, siblings, alike[p][node.tag] / siblings,
                         totals[k, 0] / max(1.0, totals[p, 0]), node.tag in _HEADINGS)
         for j, tag in enumerate(("article", "main", "nav", "aside", "footer")):
             if node.tag == tag:

@@ -221,6 +221,13 @@ def test_html_of_any_depth():
     assert html_extract.blocks(html_extract.parsed(page), lambda node: node.tag != "p") == ["a", "b", "e", "f", "g", "h", "i"]
 
 
+def test_html_share_of_like_siblings():
+    for times in (50, 51, 500):  # 200 siblings, 204, 2000
+        nodes, x = html_extract.node_features(html_extract.parsed("<h2>a</h2><p>b</p><p>c</p><p>d</p>" * times))
+        shares = {node.tag: x[node.index, 13] for node in nodes[1:]}
+        assert shares == {"h2": 0.25, "p": 0.75}
+
+
 def test_models_on_held_out_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     langs = QUERIES["op2_language_id"](spark, sf_dir).where("held_out").join(docs, "doc_id")
