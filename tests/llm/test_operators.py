@@ -252,6 +252,20 @@ def test_language_models_keep_rare_four_grams(spark):
     assert {k % 2 ** 64: n for k, n in found.items()} == want
 
 
+def test_language_limits_from_all_distinct_texts(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("aeioun"), rng.integers(2, 6))) for _ in range(12)) for _ in range(400)]
+    rows = [("en", t) for t in texts] + [("fr", f"{t} zyx") for t in ("xyzzy xyz", "zzyx yzx")]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    # The text that came first in a sample by hash has thousands of copies.
+    first = frame.orderBy(F.xxhash64("lang", F.length("text"), F.substring("text", 1, 64))).where("lang = 'en'").first()
+    model = language_id.fitted(frame.union(spark.createDataFrame([first] * 3_000, frame.schema)))
+    bits = {t: model.judge([t])[0][2] for _, t in rows}
+    assert model.langs == ["en", "fr"] and np.isfinite(model.limits).all()
+    own = sorted(bits[t] for lang, t in rows if lang == "en")
+    assert own[396] <= model.limits[0] <= own[398] and model.limits[1] == max(bits[t] for lang, t in rows if lang == "fr")
+
+
 def test_models_on_odd_rows(spark, odd):
     found = language_id.identified(odd, F.lit(True)).select("row.doc_id", "lang_pred", "score").collect()
     assert len(found) == 7 and all(0 <= r["score"] <= 1 for r in found)
