@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import divergence, line_dedup
+from . import divergence, line_dedup, zone_clusters
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -93,7 +93,39 @@ def _line_dedup() -> str:
     FROM pages p LEFT JOIN kept k USING (row)"""
 
 
+def _zone_clusters() -> str:
+    z = zone_clusters
+
+    def assigned(centroids: str) -> str:
+        return f"""(SELECT vec, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM (
+            SELECT v.vec, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+            FROM parts v JOIN {centroids} c USING (i) GROUP BY ALL) GROUP BY vec)"""
+    rounds = "".join(f"""
+    moved{n} AS MATERIALIZED (SELECT cluster, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS x FROM (
+            SELECT cluster, i, sum(x) AS s, count(*) AS n FROM parts JOIN {assigned(f"round{n}")} USING (vec)
+            GROUP BY ALL)),
+    round{n + 1} AS MATERIALIZED (SELECT cluster, i, coalesce(m.x, c.x) AS x
+            FROM round{n} c LEFT JOIN moved{n} m USING (cluster, i)),""" for n in range(z.ROUNDS))
+    return f"""
+    WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS vec, vec_id, embedding FROM embeddings
+            WHERE len(embedding) = {z.DIMS}
+            AND len(list_filter(embedding, lambda e: isfinite(e) AND abs(64 * e::DOUBLE) < {z.LIMIT})) = {z.DIMS}),
+    parts AS MATERIALIZED (SELECT vec, unnest(generate_series(1, {z.DIMS})) AS i,
+            floor(64 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept),
+    round0 AS MATERIALIZED (SELECT cluster, i, x FROM parts JOIN (
+            SELECT vec, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM kept
+            QUALIFY cluster < {z.CENTROIDS}) USING (vec)),{rounds}
+    final AS MATERIALIZED (SELECT * FROM {assigned(f"round{z.ROUNDS}")}),
+    hashes AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256
+            FROM round{z.ROUNDS} GROUP BY cluster)
+    SELECT vec_id, cluster::INTEGER AS cluster, distance,
+           (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+           (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+    FROM final JOIN kept USING (vec) JOIN hashes USING (cluster)"""
+
+
 ORACLE: dict[str, str] = {
     "op4_divergence": _divergence(),
     "op6_line_dedup": _line_dedup(),
+    "op12_zone_clusters": _zone_clusters(),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 from . import (divergence, html_extract, language_id, line_dedup, ngram_join, packing, quality_gam,
-               suffix_decontam, token_store, warc)
+               suffix_decontam, token_store, warc, whitening, zone_clusters)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,16 @@ def op9_html_extract(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), carried=["vec_id"])
+    return rows.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+                       "deviation_exact")
+
+
+@query
+def op12_zone_clusters(spark, sf_dir):
+    rows = zone_clusters.clustered(table(spark, sf_dir, "embeddings"), carried=["vec_id"])
+    return rows.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
