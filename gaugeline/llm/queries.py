@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import (divergence, html_extract, language_id, line_dedup, ngram_join, packing, quality_gam,
+from . import (divergence, html_extract, katz, language_id, line_dedup, ngram_join, packing, quality_gam,
                suffix_decontam, token_store, warc, whitening, zone_clusters)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,10 @@ def op11_whitening(spark, sf_dir):
 def op12_zone_clusters(spark, sf_dir):
     rows = zone_clusters.clustered(table(spark, sf_dir, "embeddings"), carried=["vec_id"])
     return rows.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query
+def op13_katz(spark, sf_dir):
+    rows = katz.scored(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2, carried=["doc_id"])
+    return rows.select("row.doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").withColumn(
+        "held_out", fold("doc_id", 7) == 2)
