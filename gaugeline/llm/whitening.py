@@ -181,7 +181,8 @@ def whitened(vectors: DataFrame, vector_col: str = "embedding", components: int
     fits = spark.createDataFrame(
         [(d, w.n, [float(v) for v in w.explained], error) for d, (w, error) in models.items()],
         "dim int, n bigint, shares array<double>, identity_error double")
-    return found.join(fits, "dim").select(
+    # One row for each length of vector; the driver holds a matrix for each already.
+    return found.join(F.broadcast(fits), "dim").select(
         "row", "n", "deviation", "large", "shares", "identity_error", F.posexplode("values").alias("at", "whitened")
     ).select("row", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
              F.col("shares")[F.col("at")].alias("explained"), "identity_error",
