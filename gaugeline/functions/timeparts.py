@@ -16,6 +16,11 @@ def utc_date_text(epoch_millis: Column) -> Column:
     return utc_date(millis_to_seconds(epoch_millis)).cast("string")
 
 
+def seconds_to_millis(epoch_seconds: Column) -> Column:
+    """Null where the result leaves a long."""
+    return F.try_multiply(epoch_seconds, F.lit(1000).cast("bigint"))
+
+
 def millis_to_seconds(epoch_millis: Column) -> Column:
     return F.floor(epoch_millis / 1000)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import number_or_zero
 from .decode import evaluate_once
-from .sequences import number_rows
+from .sequences import number_once
 
 BATTERY = "high"
 _HOUR_US = 3_600_000_000
@@ -21,7 +21,7 @@ def normalise_responses(responses: DataFrame) -> DataFrame:
     """``(station_id, fetched_at, status, body)`` to reading columns.
 
     Only successful, well-formed responses count; ``s_no`` is their running
-    number per station in fetch order. Numbering reads the responses twice.
+    number per station in fetch order, responses of one moment by their values.
     """
     fetched = responses.where("status = 200").select(
         "station_id", F.unix_micros("fetched_at").alias("fetched_us"),
@@ -36,7 +36,7 @@ def normalise_responses(responses: DataFrame) -> DataFrame:
         F.floor(F.col("fetched_us") / 1_000_000).alias("status_timestamp"),
         F.struct(*[number_or_zero(F.col(name)).alias(name) for name in _LEAVES]).alias("weather"),
     ).where("usable").select("station_id", "fetched_us", "status_timestamp", "weather")
-    numbered = number_rows(readings, ["station_id"], ["fetched_us"], "s_no", width=_HOUR_US)
+    numbered = number_once(readings, ["station_id"], ["fetched_us", "weather"], "s_no", width=_HOUR_US)
     return numbered.select(
         "station_id", "s_no", F.lit(BATTERY).alias("battery_status"), "status_timestamp",
         "weather")

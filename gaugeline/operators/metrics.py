@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def op_latency(timings: DataFrame) -> DataFrame:
@@ -35,12 +35,15 @@ def raw_vs_unique(change_log: DataFrame) -> DataFrame:
         F.count("*").alias("raw_entries"), F.count_distinct("key").alias("unique_keys"))
 
 
-def storage_summary(table: DataFrame) -> DataFrame:
-    """Number and total size of the files behind a file-based table. Only file
-    metadata is read, no data column."""
-    files = table.select("_metadata.file_path", "_metadata.file_size").distinct()
+def storage_summary(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """Number and sizes of the files under a folder, from its listing alone: one row per file,
+    whose content is not opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", pattern).load(path).select("length")
+    zero = F.lit(0).cast("bigint")
     return files.agg(
-        F.count("*").alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), zero).alias("bytes"),
+        F.coalesce(F.min("length"), zero).alias("smallest"), F.coalesce(F.max("length"), zero).alias("largest"))
 
 
 def station_counts(readings: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ def outage_intervals(
     who: str = "subscriber",
     at: str = "beat_ms",
     as_of_ms: int | None = None,
+    roster: DataFrame | None = None,
+    open_ended: bool = False,
 ) -> DataFrame:
     """Intervals ``[down_from_ms, down_to_ms)`` in which the last heartbeat was
     ``timeout_ms`` old or older.
@@ -22,19 +24,24 @@ def outage_intervals(
     that, so keeping the first and last beat per window loses nothing. The
     reduction happens before the shuffle; what is left to order per subscriber
     grows with elapsed time, not with the number of beats. ``as_of_ms`` closes
-    an outage that is still open then.
+    an outage that is still open then, or with ``open_ended`` reports it without
+    an end. Members of ``roster`` (``who``, ``enrolled_ms``) are down from their
+    enrolment until their first beat, if there ever is one.
     """
-    slots = heartbeats.groupBy(
-        who, F.floor(F.col(at) / timeout_ms).alias("_slot")
-    ).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    beats = heartbeats.select(who, F.col(at).alias("_at"))
+    if roster is not None:
+        # Without a beat yet, as if the last one had just run out.
+        beats = beats.unionByName(roster.select(who, (F.col("enrolled_ms") - timeout_ms).alias("_at")))
+    slots = beats.groupBy(who, F.floor(F.col("_at") / timeout_ms).alias("_slot")).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"))
     following = F.lead("_first").over(Window.partitionBy(who).orderBy("_slot"))
-    if as_of_ms is not None:
-        following = F.coalesce(following, F.lit(as_of_ms).cast("bigint"))
-    return (
-        slots.select(who, (F.col("_last") + timeout_ms).alias("down_from_ms"),
-                     following.alias("down_to_ms"))
-        .where(F.col("down_to_ms") > F.col("down_from_ms"))
-    )
+    spans = slots.select(who, (F.col("_last") + timeout_ms).alias("down_from_ms"),
+                         following.alias("down_to_ms"))
+    if as_of_ms is None:
+        return spans.where(F.col("down_to_ms") > F.col("down_from_ms"))
+    as_of = F.lit(as_of_ms).cast("bigint")
+    down = spans.where(F.coalesce("down_to_ms", as_of + (1 if open_ended else 0)) > F.col("down_from_ms"))
+    return down if open_ended else down.withColumn("down_to_ms", F.coalesce("down_to_ms", as_of))
 
 
 def health(heartbeats: DataFrame, as_of_ms: Column, timeout_ms: int = HEARTBEAT_TIMEOUT_MS,
@@ -57,8 +64,14 @@ def health(heartbeats: DataFrame, as_of_ms: Column, timeout_ms: int = HEARTBEAT_
 BUCKET_MS = 3_600_000
 
 
-def outage_spans(outages: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """One row per outage and time bucket it touches."""
+def outage_spans(outages: DataFrame, bucket_ms: int = BUCKET_MS,
+                 watermark_ms: int | None = None) -> DataFrame:
+    """One row per outage and time bucket it touches. An open outage lasts up to and
+    including ``watermark_ms``, the latest moment the arrivals are known to cover."""
+    if watermark_ms is not None:
+        outages = outages.withColumn(
+            "down_to_ms", F.coalesce("down_to_ms", F.lit(watermark_ms + 1).cast("bigint"))
+        ).where("down_to_ms > down_from_ms")
     first = F.floor(F.col("down_from_ms") / bucket_ms)
     last = F.floor((F.col("down_to_ms") - 1) / bucket_ms)
     return outages.select(

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def missed_as_arrivals(missed: DataFrame, replay_ts: Column) -> DataFrame:
-    """Missed messages as arrivals stamped with the replay time, so that the
-    arrival-time watermark never drops them."""
+    """Missed messages as arrivals stamped with the replay time."""
     return missed.select(
         F.lit(None).cast("string").alias("key"),
         F.col("originalMessage").alias("value"),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import STAGE_ARCHIVE, STAGE_LATEST
-from ..functions.timeparts import ntz_to_micros, utc_date_text
+from ..functions.timeparts import ntz_to_micros, seconds_to_millis, utc_date_text
 from ..operators.decode import decode
 from ..operators.dedup import keep_first
 from ..operators.envelopes import dead_letters
@@ -29,8 +29,13 @@ from ..sources.missed import MissedStore
 
 # Fixed values of the derived data.
 HEARTBEAT_TIMEOUT_MS = 1_800_000
-SUBSCRIBERS = 3
+SUBSCRIBERS = 4  # the last one never beats, and the one before stops for good
+STOPPED_MS = 1_706_140_800_000  # 2024-01-25
+ENROLLED_MS = 1_704_067_200_000  # 2024-01-01
+AS_OF_MS = 1_706_659_200_000  # 2024-01-31
 STATIONS = 10
+FEED_FILES = 8
+REPLAYED_DATE = "2024-01-12"
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -83,6 +88,24 @@ def arrivals_path(spark: SparkSession, sf_dir: str) -> str:
                  lambda path: derive_arrivals(spark, sf_dir).write.parquet(path))
 
 
+def feed_path(spark: SparkSession, sf_dir: str) -> str:
+    """The arrivals as a feed of ``FEED_FILES`` files, for streams of several micro-batches."""
+    return once(spark, sf_dir, "feed", lambda path: arrivals(spark, sf_dir)
+                .repartitionByRange(FEED_FILES, "kafka_offset").write.parquet(path))
+
+
+def late_feed_path(spark: SparkSession, sf_dir: str) -> str:
+    """The same feed written newest first: every file is older than all before it."""
+    def write(path: str) -> None:
+        rows = arrivals(spark, sf_dir)
+        low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+        step = (high - low) // FEED_FILES + 1
+        for n in reversed(range(FEED_FILES)):
+            rows.where(F.col("kafka_offset").between(low + step * n, low + step * (n + 1) - 1)) \
+                .coalesce(1).write.mode("append").parquet(path)
+    return once(spark, sf_dir, "late-feed", write)
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_table(spark, arrivals_path(spark, sf_dir))
 
@@ -138,12 +161,31 @@ def odd_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals(spark, sf_dir).withColumn("value", bent)
 
 
+def extreme_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals, some stamped with times that have no calendar date or a far one.
+
+    ``kafka_offset div 20 mod 5`` tells which: 0 the largest long, 1 the last second with a
+    date, 2 the first without, 3 the year 10000, 4 unchanged.
+    """
+    way = F.floor(F.col("kafka_offset") / 20) % 5
+    stamp = F.when(way == 0, F.lit("9223372036854775807")).when(way == 1, F.lit("185542587187199")) \
+        .when(way == 2, F.lit("185542587187200")).when(way == 3, F.lit("253402300800"))
+    bent = F.regexp_replace(F.col("value"), F.lit('"status_timestamp":[0-9]+'),
+                            F.concat(F.lit('"status_timestamp":'), stamp))
+    return arrivals(spark, sf_dir).withColumn("value", F.coalesce(bent, "value"))
+
+
 def misnamed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station 10 is configured to call itself station 9."""
     return arrivals(spark, sf_dir).withColumn(
         "value", F.regexp_replace("value", '"station_id":10,', '"station_id":9,'))
 
 
+def misnamed_feed_path(spark: SparkSession, sf_dir: str) -> str:
+    return once(spark, sf_dir, "misnamed-feed", lambda path: misnamed_arrivals(spark, sf_dir)
+                .repartitionByRange(FEED_FILES, "kafka_offset").write.parquet(path))
+
+
 def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded readings where even stations restart their numbering every 97."""
     looped = F.when(F.col("station_id") % 2 == 0, (F.col("s_no") - 1) % 97 + 1) \
@@ -161,7 +203,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         write_change_log(
             valid(spark, sf_dir).select(
-                utc_date_text(F.col("status_timestamp") * 1000).alias("segment"),
+                utc_date_text(seconds_to_millis(F.col("status_timestamp"))).alias("segment"),
                 F.col("kafka_offset").alias("pos"),
                 F.col("station_id").cast("string").alias("key"),
                 "value",
@@ -199,7 +241,7 @@ def dead_letter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         s_no % 3 == 1, F.array(F.concat(stage, F.lit(" failed")), F.lit("gave up waiting"))
     ).otherwise(F.array(F.concat(stage, F.lit(" failed"))))
     rows = dead_letters(failing, stage, reasons, kind, F.lower(kind),
-                        F.col("status_timestamp") * 1000)
+                        seconds_to_millis(F.col("status_timestamp")))
     return rows.withColumn(
         "station_id", F.when(F.col("sequence_number") % 100 != 0, F.col("station_id")))
 
@@ -210,6 +252,12 @@ def dead_letter_store(spark: SparkSession, sf_dir: str) -> DeadLetterStore:
         lambda path: DeadLetterStore(spark, path).write(dead_letter_rows(spark, sf_dir))))
 
 
+def roster(spark: SparkSession) -> DataFrame:
+    """Everyone who should beat, and since when."""
+    return spark.range(SUBSCRIBERS).select(
+        F.col("id").cast("string").alias("subscriber"), F.lit(ENROLLED_MS).cast("bigint").alias("enrolled_ms"))
+
+
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One beat per event; each subscriber is silent for one hour of every day."""
     member = F.col("user_id") % SUBSCRIBERS
@@ -217,13 +265,16 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         member.alias("_member"), member.cast("string").alias("subscriber"),
         F.floor(ntz_to_micros(F.col("ts")) / 1000).alias("beat_ms"))
     hour = F.floor(F.col("beat_ms") / 3_600_000)
-    return beats.where((hour + F.col("_member") * 5) % 24 != 0).drop("_member")
+    stopped = (F.col("_member") == SUBSCRIBERS - 2) & (F.col("beat_ms") >= STOPPED_MS)
+    return beats.where((F.col("_member") < SUBSCRIBERS - 1) & ~stopped
+                       & ((hour + F.col("_member") * 5) % 24 != 0)).drop("_member")
 
 
 def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outages as a written table, so joins know its size."""
+    """Outages as a written table, so joins know its size; those still open have no end."""
     path = once(spark, sf_dir, "outages", lambda p: outage_intervals(
-        heartbeats(spark, sf_dir), HEARTBEAT_TIMEOUT_MS).write.parquet(p))
+        heartbeats(spark, sf_dir), HEARTBEAT_TIMEOUT_MS, as_of_ms=AS_OF_MS, roster=roster(spark),
+        open_ended=True).write.parquet(p))
     return spark.read.schema(
         "subscriber STRING, down_from_ms BIGINT, down_to_ms BIGINT").parquet(path)
 
@@ -235,7 +286,7 @@ def subscriber_of() -> Column:
 
 def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = once(spark, sf_dir, "outage-spans",
-                lambda p: outage_spans(outages(spark, sf_dir)).write.parquet(p))
+                lambda p: outage_spans(outages(spark, sf_dir), watermark_ms=AS_OF_MS).write.parquet(p))
     spans = spark.read.schema(
         "subscriber STRING, down_from_ms BIGINT, down_to_ms BIGINT, _bucket BIGINT").parquet(path)
     return capture_missed(arrivals(spark, sf_dir), spans, subscriber_of())
@@ -247,6 +298,15 @@ def missed_store(spark: SparkSession, sf_dir: str) -> MissedStore:
         lambda path: MissedStore(spark, path).write(missed_rows(captured(spark, sf_dir)))))
 
 
+def partly_replayed(spark: SparkSession, sf_dir: str) -> MissedStore:
+    """The missed messages after those of one date were replayed."""
+    def write(path: str) -> None:
+        store = MissedStore(spark, path)
+        store.write(missed_rows(captured(spark, sf_dir)))
+        store.clear_date(REPLAYED_DATE)
+    return MissedStore(spark, once(spark, sf_dir, "partly-replayed", write))
+
+
 def op_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id = F.col("event_id")
     return events(spark, sf_dir).select(

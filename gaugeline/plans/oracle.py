@@ -115,9 +115,29 @@ ORACLE: dict[str, str] = {
           count(*) AS rainy, max(wind_speed) AS max_wind
         FROM u WHERE humidity > 70 GROUP BY ALL"""),
     "archive_compacted": with_readings(f"SELECT {_ARCHIVE} FROM u"),
+    "archive_extreme": with_readings(f"""
+        , x AS (SELECT *, CASE kafka_offset // 20 % 5 WHEN 1 THEN 185542587187199
+            WHEN 3 THEN 253402300800 ELSE status_timestamp END AS sent
+          FROM u WHERE kafka_offset // 20 % 5 NOT IN (0, 2))
+        SELECT station_id, s_no, battery_status, sent AS status_timestamp, humidity, temperature, wind_speed,
+          CAST(CASE sent WHEN 185542587187199 THEN 5881580 WHEN 253402300800 THEN 10000
+            ELSE year(make_timestamp(sent * 1000000)) END AS INTEGER) AS year,
+          CAST(CASE sent WHEN 185542587187199 THEN 7 WHEN 253402300800 THEN 1
+            ELSE month(make_timestamp(sent * 1000000)) END AS INTEGER) AS month,
+          CAST(CASE sent WHEN 185542587187199 THEN 11 WHEN 253402300800 THEN 1
+            ELSE day(make_timestamp(sent * 1000000)) END AS INTEGER) AS day
+        FROM x"""),
+    "archive_undated": with_readings("""
+        SELECT station_id, s_no, CASE kafka_offset // 20 % 5 WHEN 0 THEN 9223372036854775807
+          ELSE 185542587187200 END AS status_timestamp, humidity
+        FROM u WHERE kafka_offset // 20 % 5 IN (0, 2)"""),
     "station_counts": with_readings(
         "SELECT station_id, count(*) AS records FROM u GROUP BY station_id"),
 
+    "storage_summary": with_readings("""
+        SELECT count(DISTINCT (station_id, strftime(make_timestamp(status_timestamp * 1000000), '%Y-%m-%d')))
+          AS files, true AS has_bytes, true AS none_empty FROM u"""),
+
     "latest_by_station": with_readings("SELECT key, value FROM latest"),
     "latest_upsert": with_readings("SELECT key, value FROM latest"),
     "compact_log": with_readings(f"""
@@ -229,14 +249,19 @@ ORACLE: dict[str, str] = {
         SELECT missed_date, count(*) AS pending,
           (SELECT count(*) FROM missed WHERE missed_date = '{_DATE}') AS cleared_on_date
         FROM missed WHERE missed_date <> '{_DATE}' GROUP BY missed_date"""),
+    "missed_statistics": with_outages("""
+        SELECT count(DISTINCT missed_date) AS dates, count(*) AS messages, min(missed_date) AS first_date,
+          max(missed_date) AS last_date FROM missed WHERE missed_date <> '2024-01-12'"""),
     "subscriber_status": with_outages(f"""
-        , h AS (SELECT subscriber, max(beat_ms) AS last_ms FROM hb GROUP BY subscriber),
+        , h AS (SELECT subscriber, max(beat_ms) AS last_ms FROM roster LEFT JOIN hb USING (subscriber)
+            GROUP BY subscriber),
         o AS (SELECT subscriber, max(down_from_ms) AS last_down FROM outages GROUP BY subscriber),
-        m AS (SELECT subscriber, count(*) AS n FROM missed GROUP BY subscriber)
-        SELECT h.subscriber, {_AS_OF} - last_ms < 1800000 AS healthy,
+        m AS (SELECT subscriber, count(*) FILTER (WHERE missed_date <> '2024-01-12') AS pending,
+            count(*) FILTER (WHERE missed_date = '2024-01-12') AS replayed FROM missed GROUP BY subscriber)
+        SELECT h.subscriber, coalesce({_AS_OF} - last_ms < 1800000, false) AS healthy,
           last_ms AS last_heartbeat_ms, {_AS_OF} - last_ms AS since_last_ms,
-          last_down AS last_down_from_ms, coalesce(m.n, 0) AS missed_pending,
-          CAST(0 AS BIGINT) AS replayed_total
+          last_down AS last_down_from_ms, coalesce(pending, 0) AS missed_pending,
+          coalesce(replayed, 0) AS replayed_total
         FROM h LEFT JOIN o USING (subscriber) LEFT JOIN m USING (subscriber)"""),
 
     "op_latency": """
@@ -255,7 +280,7 @@ ORACLE: dict[str, str] = {
             event_id % 37 = 0 AS bare, event_id % 5 = 0 AS calm, value,
             CAST(props->>'k' AS INT) AS k FROM events
             WHERE event_id % 50 <> 0 AND (event_id % 37 = 0 OR event_id % 41 <> 0))
-        SELECT station_id, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS s_no,
+        SELECT station_id, row_number() OVER (PARTITION BY station_id ORDER BY ts, CASE WHEN bare THEN 0 ELSE k END) AS s_no,
           'high' AS battery_status, CAST(floor(epoch(ts)) AS BIGINT) AS status_timestamp,
           CASE WHEN bare THEN 0 ELSE k END AS humidity,
           CASE WHEN bare THEN 0 ELSE CAST(30 + (event_id * 7) % 91 AS INT) END AS temperature,
@@ -304,6 +329,16 @@ ORACLE: dict[str, str] = {
         SELECT 'ARCHIVE_WRITE' AS stage, 'OSError' AS exception_type,
           'disk full' AS exception_message, station_id, s_no AS sequence_number,
           value AS original_message, 'ARCHIVE_WRITE failed: disk full' AS reason FROM u"""),
+    "stream_late": with_readings("SELECT station_id, s_no, value FROM u"),
+    "stream_replay": with_readings(f"SELECT {_ARCHIVE} FROM u"),
+    "stream_replay_latest": with_readings("SELECT key, value FROM latest"),
+    "stream_replay_ledger": """
+        SELECT 'stored' AS outcome, CAST(1 AS INTEGER) AS attempt, count(*) > 0 AS some_failed,
+          true AS all_replayed, CAST(0 AS BIGINT) AS second_run, CAST(0 AS BIGINT) AS pending FROM events""",
+    "stream_missed_replay": with_readings("""
+        SELECT station_id, count(*) AS readings, CAST(sum(s_no) AS BIGINT) AS sum_s_no,
+          nullif(count(*) FILTER (WHERE humidity > 70), 0) AS routed
+        FROM u GROUP BY station_id"""),
     "stream_silent": with_readings("""
         , y AS (SELECT station_id, copy, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (
               PARTITION BY station_id ORDER BY ts, copy) AS before FROM v),
@@ -313,4 +348,19 @@ ORACLE: dict[str, str] = {
           max(us) + 14400000000 AS silent_from_us
         FROM z GROUP BY station_id, session
         HAVING max(us) + 14400000000 <= (SELECT max(us) FROM z) - 3600000000"""),
+    "stream_silent_clock": with_readings("""
+        , w AS (SELECT unnest(range(1, 13)) AS station_id)
+        SELECT w.station_id, count(v.station_id) AS readings, max(epoch_us(ts)) AS last_seen_us
+        FROM w LEFT JOIN v USING (station_id) GROUP BY w.station_id"""),
+    "stream_conflicts": with_readings("""
+        , y AS (SELECT CASE station_id WHEN 10 THEN 9 ELSE station_id END AS station_id, s_no,
+            replace(value, '"station_id":10,', '"station_id":9,') AS value FROM v)
+        SELECT station_id, s_no, count(DISTINCT value) AS payloads
+        FROM y GROUP BY station_id, s_no HAVING count(DISTINCT value) > 1"""),
+    "stream_forget": with_readings("""
+        , f AS (SELECT station_id, s_no FROM u WHERE s_no % 50 = 0 OR station_id = 3),
+        o AS (SELECT station_id, s_no, 'accepted' AS outcome FROM u
+          UNION ALL SELECT *, 'forgotten' FROM f UNION ALL SELECT *, 'accepted' FROM f)
+        SELECT station_id, outcome, count(*) AS messages, CAST(sum(s_no) AS BIGINT) AS sum_s_no
+        FROM o GROUP BY station_id, outcome"""),
 }

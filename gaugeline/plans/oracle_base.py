@@ -39,17 +39,19 @@ dl AS (SELECT *, strftime(make_timestamp(failed_at * 1000), '%Y-%m-%d') AS dl_da
 """
 
 _OUTAGES = """
-hb AS (SELECT CAST(user_id % 3 AS VARCHAR) AS subscriber, epoch_us(ts) // 1000 AS beat_ms FROM events
-      WHERE (epoch_us(ts) // 3600000000 + user_id % 3 * 5) % 24 <> 0),
+roster AS (SELECT CAST(unnest(range(4)) AS VARCHAR) AS subscriber, 1704067200000 AS enrolled_ms),
+hb AS (SELECT CAST(user_id % 4 AS VARCHAR) AS subscriber, epoch_us(ts) // 1000 AS beat_ms FROM events
+      WHERE (epoch_us(ts) // 3600000000 + user_id % 4 * 5) % 24 <> 0 AND user_id % 4 < 3
+        AND NOT (user_id % 4 = 2 AND epoch_us(ts) // 1000 >= 1706140800000)),
 gaps AS (SELECT subscriber, beat_ms, lead(beat_ms) OVER (PARTITION BY subscriber ORDER BY beat_ms) AS next_ms
-      FROM hb),
+      FROM (SELECT * FROM hb UNION ALL SELECT subscriber, enrolled_ms - 1800000 FROM roster)),
 outages AS (SELECT subscriber, beat_ms + 1800000 AS down_from_ms, next_ms AS down_to_ms
-      FROM gaps WHERE next_ms - beat_ms > 1800000),
+      FROM gaps WHERE next_ms - beat_ms > 1800000 OR (next_ms IS NULL AND beat_ms + 1800000 <= 1706659200000)),
 missed AS (SELECT r.*, o.subscriber, o.down_from_ms,
         strftime(make_timestamp(arrived_ms * 1000), '%Y-%m-%d') AS missed_date,
         strftime(make_timestamp(o.down_from_ms * 1000), '%Y-%m-%d %H:%M:%S') AS down_text
-      FROM r JOIN outages o ON CAST(r.kafka_partition % 3 AS VARCHAR) = o.subscriber
-       AND r.arrived_ms >= o.down_from_ms AND r.arrived_ms < o.down_to_ms)
+      FROM r JOIN outages o ON CAST(r.kafka_partition % 4 AS VARCHAR) = o.subscriber
+       AND r.arrived_ms >= o.down_from_ms AND r.arrived_ms < coalesce(o.down_to_ms, 1706659200001))
 """
 
 

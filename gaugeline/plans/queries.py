@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import csv_quoted, display_key, one_decimal, zero_padded
-from ..functions.timeparts import readable_stamp, utc_timestamp_text
+from ..functions.timeparts import readable_stamp, seconds_to_millis, utc_timestamp_text
 from ..operators import browse, latest as latest_ops, metrics, outages as outage_ops, sequences
 from ..operators.alerts import alert_messages, alert_rows
 from ..operators.decode import decode, flatten, parse_failures as failed_to_parse, parsed_only
@@ -19,7 +19,7 @@ from ..operators.routing import routed_messages as route
 from ..operators.validate import accepted, error_rows, is_valid, rejected
 from ..schemas import ARCHIVE_COLUMNS
 from ..session import scratch_path
-from ..sources.archive import archive_rows, compact_archive, read_archive, write_archive
+from ..sources.archive import archive_rows, compact_archive, read_archive, read_undated, write_archive
 from ..sources.dead_letters import DeadLetterStore
 from ..sources.latest_store import LatestStore, export_csv, read_csv_export
 from ..sources.missed import MissedStore
@@ -30,7 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 DATE = "2024-01-10"
 REPLAY_AT_US = 1_800_000_000_000_000
-AS_OF_MS = 1_706_659_200_000
+AS_OF_MS = fx.AS_OF_MS
 SINCE_MS = 1_705_276_800_000
 
 
@@ -158,6 +158,24 @@ def archive_compacted(spark, sf_dir):
     return read_archive(spark, merged).select(*ARCHIVE_COLUMNS)
 
 
+def _extreme_archive(spark, sf_dir) -> str:
+    return fx.once(spark, sf_dir, "archive-extreme", lambda path: write_archive(
+        archive_rows(keep_first(accepted(decode(fx.extreme_arrivals(spark, sf_dir))))), path))
+
+
+@query
+def archive_extreme(spark, sf_dir):
+    """Valid messages with extreme times: the archive stays readable."""
+    return read_archive(spark, _extreme_archive(spark, sf_dir)).select(*ARCHIVE_COLUMNS)
+
+
+@query
+def archive_undated(spark, sf_dir):
+    """Those without a calendar date, in their side partition."""
+    rows = read_undated(spark, _extreme_archive(spark, sf_dir))
+    return rows.select("station_id", "s_no", "status_timestamp", "humidity")
+
+
 @query
 def station_counts(spark, sf_dir):
     return metrics.station_counts(fx.unique(spark, sf_dir))
@@ -165,7 +183,11 @@ def station_counts(spark, sf_dir):
 
 @query
 def storage_summary(spark, sf_dir):
-    return metrics.storage_summary(read_archive(spark, fx.archive_path(spark, sf_dir)))
+    """Files of an archive written as one micro-batch: one for each directory."""
+    path = fx.once(spark, sf_dir, "archive-batch", lambda p: write_archive(
+        archive_rows(fx.unique(spark, sf_dir)), p, batch_id=0))
+    return metrics.storage_summary(spark, path).select(
+        "files", (F.col("bytes") > 0).alias("has_bytes"), (F.col("smallest") > 0).alias("none_empty"))
 
 
 # --- latest values ------------------------------------------------------------
@@ -355,7 +377,9 @@ def dlq_replay(spark, sf_dir):
 
 @query
 def outage_intervals(spark, sf_dir):
-    return outage_ops.outage_intervals(fx.heartbeats(spark, sf_dir), fx.HEARTBEAT_TIMEOUT_MS)
+    """Closed outages, and those still open: of members that stopped or never beat."""
+    return outage_ops.outage_intervals(fx.heartbeats(spark, sf_dir), fx.HEARTBEAT_TIMEOUT_MS,
+                                       as_of_ms=AS_OF_MS, roster=fx.roster(spark), open_ended=True)
 
 
 @query
@@ -412,15 +436,20 @@ def clear_replayed(spark, sf_dir):
         F.count("*").alias("pending"), F.lit(cleared).cast("bigint").alias("cleared_on_date"))
 
 
+@query
+def missed_statistics(spark, sf_dir):
+    return fx.partly_replayed(spark, sf_dir).statistics()
+
+
 @query
 def subscriber_status(spark, sf_dir):
-    store = fx.missed_store(spark, sf_dir)
+    store = fx.partly_replayed(spark, sf_dir)
     owner = (F.col("kafkaPartition") % fx.SUBSCRIBERS).cast("string").alias("subscriber")
     as_of = F.lit(AS_OF_MS).cast("bigint")
     health = outage_ops.health(
-        fx.heartbeats(spark, sf_dir), as_of, fx.HEARTBEAT_TIMEOUT_MS)
+        fx.heartbeats(spark, sf_dir), as_of, fx.HEARTBEAT_TIMEOUT_MS, fx.roster(spark))
     return metrics.subscriber_status(
-        health, fx.outages(spark, sf_dir), store.pending().select(owner),
+        health, fx.outages(spark, sf_dir), store.pending_ids().select(owner),
         store.replayed().select(owner), as_of)
 
 
@@ -474,7 +503,7 @@ def display_fields(spark, sf_dir):
     return rows.select(
         "kafka_offset",
         display_key(F.col("station_id"), F.col("s_no")).alias("display_key"),
-        utc_timestamp_text(F.col("status_timestamp") * 1000).alias("sent_at"),
+        utc_timestamp_text(seconds_to_millis(F.col("status_timestamp"))).alias("sent_at"),
         readable_stamp(F.when(F.col("s_no") % 3 == 0, F.lit("bad_name")).otherwise(compact))
         .alias("segment_time"),
         one_decimal(F.col("humidity") / 8).alias("eighth"))

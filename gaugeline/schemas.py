@@ -12,6 +12,10 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, kind)])
+
+
 ARRIVAL = _struct(
     key=_TEXT, value=_TEXT, kafka_partition=_INT, kafka_offset=_LONG, arrival_ts=_TIME)
 
@@ -32,6 +36,7 @@ ARCHIVE_COLUMNS = [
     "temperature", "wind_speed", "year", "month", "day",
 ]
 ARCHIVE_PARTITIONS = ["year", "month", "day", "station_id"]
+UNDATED_YEAR = 0  # the partition of rows whose time has no calendar date
 ARCHIVE = _struct(
     s_no=_LONG, battery_status=_TEXT, status_timestamp=_LONG, humidity=_INT,
     temperature=_INT, wind_speed=_INT, year=_INT, month=_INT, day=_INT, station_id=_LONG)
@@ -48,10 +53,20 @@ DEAD_LETTER_ID = _struct(
 MISSED_BODY = _struct(
     originalMessage=_TEXT, kafkaOffset=_LONG, kafkaPartition=_INT, messageTimestamp=_LONG,
     missedAtTimestamp=_LONG, downDetectionTime=_TEXT)
-MISSED_TABLE = _struct(payload=_TEXT, missed_date=_TEXT)
+MISSED_TABLE = _struct(payload=_TEXT, kafkaPartition=_INT, kafkaOffset=_LONG, missed_date=_TEXT)
 REPLAYED_ID = _struct(kafkaPartition=_INT, kafkaOffset=_LONG, missed_date=_TEXT)
 
 CHANGE_LOG = _struct(segment=_TEXT, pos=_LONG, key=_TEXT, value=_TEXT)
 
+COMMIT = _struct(number=_LONG, committed_at_ms=_LONG)
+MERGED_DATE = _struct(date_number=_LONG, version=_LONG, batch=_LONG, replay=_LONG)
+LEDGER = _struct(
+    failed_at_timestamp_ms=_LONG, kafka_partition=_INT, kafka_offset=_LONG, dl_date=_TEXT,
+    stage=_TEXT, attempt=_INT, sink=_TEXT, outcome=_TEXT, replay_id=_LONG)
+ATTEMPT = _struct(
+    failed_at_timestamp_ms=_LONG, kafka_partition=_INT, kafka_offset=_LONG, replay_id=_LONG,
+    dl_date=_TEXT, stage=_TEXT)
+
 LATEST_ENTRY = _struct(key=_TEXT, value=_TEXT, kafka_partition=_INT, kafka_offset=_LONG)
+LATEST_DELTA = with_field(with_field(LATEST_ENTRY, "kind", _TEXT), "batch_id", _LONG)
 LATEST_VERSION = _struct(version=_LONG)

@@ -13,9 +13,8 @@ def kafka_options(bootstrap: str, topic: str = READINGS_TOPIC,
                   min_partitions: int | None = None) -> dict[str, str]:
     """Options of the Kafka source: earliest on first start, the checkpoint after that.
 
-    ``max_offsets`` caps one micro-batch, not the data; ``config.ARCHIVE_BATCH_ROWS``
-    gives the small batches of a single-node deployment. Set ``min_partitions`` above the topic's partition count so that one hot
-    partition is read by several tasks.
+    ``max_offsets`` caps one micro-batch, not the data. Set ``min_partitions`` above the
+    topic's partition count so that one hot partition is read by several tasks.
     """
     options = {
         "kafka.bootstrap.servers": bootstrap,

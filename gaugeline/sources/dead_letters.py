@@ -7,8 +7,10 @@ costs what it removes and no reader ever sees a half-rewritten partition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
-from ..schemas import DEAD_LETTER, DEAD_LETTER_ID
+from ..schemas import DEAD_LETTER, DEAD_LETTER_ID, with_field
+from .commits import BATCH, CommitLog
 from .tables import read_or_empty
 
 ID_COLUMNS = DEAD_LETTER_ID.fieldNames()
@@ -16,9 +18,12 @@ _APPENDED = -1
 
 
 class DeadLetterStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """With a commit ``log``, rows of a micro-batch are seen once it is committed."""
+
+    def __init__(self, spark: SparkSession, root: str, log: CommitLog | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = log
 
     def write(self, rows: DataFrame, batch_id: int | None = None) -> None:
         """Store rows from ``operators.envelopes.dead_letters``. With a
@@ -38,17 +43,18 @@ class DeadLetterStore:
             .json(f"{self.root}/messages")
 
     def read(self, date: str | None = None, stage: str | None = None) -> DataFrame:
-        """All dead letters, or those of one date and stage; directories are
-        pruned, unreadable rows skipped, a missing date is simply empty."""
-        def within(df: DataFrame) -> DataFrame:
-            if date is not None:
-                df = df.where(F.col("dl_date") == date)
-            if stage is not None:
-                df = df.where(F.col("stage") == stage)
-            return df
-
-        rows = within(read_or_empty(self.spark, f"{self.root}/messages", DEAD_LETTER, "json"))
-        gone = within(read_or_empty(self.spark, f"{self.root}/deleted", DEAD_LETTER_ID))
+        """All dead letters, or those of one date and stage, of which alone the directories
+        are listed; unreadable rows are skipped, a missing date is simply empty."""
+        folder = f"dl_date={date or '*'}" + (f"/stage={stage}" if stage else "") if date or stage else ""
+
+        def within(name: str, schema: StructType, fmt: str) -> DataFrame:
+            base = f"{self.root}/{name}"
+            return read_or_empty(self.spark, f"{base}/{folder}", schema, fmt, basePath=base)
+
+        rows = within("messages", with_field(DEAD_LETTER, "batch_id", LongType()), "json")
+        if self.log:
+            rows = rows.where((F.col("batch_id") == _APPENDED) | (F.col("batch_id") <= self.log.last(BATCH)))
+        gone = within("deleted", DEAD_LETTER_ID, "parquet")
         return (
             rows.where(F.col("kafka_offset").isNotNull())
             .select(*DEAD_LETTER.fieldNames())

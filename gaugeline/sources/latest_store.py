@@ -11,29 +11,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.latest import latest_by_station
-from ..schemas import LATEST_ENTRY, LATEST_VERSION
+from ..schemas import LATEST_DELTA, LATEST_ENTRY, LATEST_VERSION
+from .commits import BATCH, REPLAY, CommitLog
 from .tables import read_or_empty
 
 
 class LatestStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """With a commit ``log``, readers see deltas of committed numbers only."""
+
+    def __init__(self, spark: SparkSession, root: str, log: CommitLog | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = log
 
     def _version(self) -> int:
         versions = read_or_empty(self.spark, f"{self.root}/versions", LATEST_VERSION)
         return versions.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
-    def write_batch(self, readings: DataFrame, batch_id: int) -> None:
-        """Record the newest value per station of one batch. A retry replaces
+    def write_batch(self, readings: DataFrame, batch_id: int, kind: str = BATCH) -> None:
+        """Record the newest value per station of one batch (or replay). A retry replaces
         the batch's own directory; a replay changes nothing."""
-        target = f"{self.root}/deltas/version={self._version()}/batch_id={batch_id}"
-        latest_by_station(readings).write.mode("overwrite").parquet(target)
+        version = None
+        while version != self._version():  # a compaction by someone else may have come between
+            version = self._version()
+            target = f"{self.root}/deltas/version={version}/kind={kind}/batch_id={batch_id}"
+            latest_by_station(readings).write.mode("overwrite").parquet(target)
 
     def _entries(self, version: int) -> DataFrame:
-        base = read_or_empty(self.spark, f"{self.root}/base/version={version}", LATEST_ENTRY)
-        deltas = read_or_empty(self.spark, f"{self.root}/deltas/version={version}", LATEST_ENTRY)
-        return base.unionByName(deltas.select(*base.columns))
+        """The base and the deltas since. Those of the version before are read too: one of
+        them may have been committed after it was folded; the others change nothing."""
+        entries = read_or_empty(self.spark, f"{self.root}/base/version={version}", LATEST_ENTRY)
+        for number in (version - 1, version):
+            deltas = read_or_empty(self.spark, f"{self.root}/deltas/version={number}", LATEST_DELTA)
+            if self.log:
+                seen = F.lit(False)
+                for kind in (BATCH, REPLAY):
+                    seen |= (F.col("kind") == kind) & (F.col("batch_id") <= self.log.last(kind))
+                deltas = deltas.where(seen)
+            entries = entries.unionByName(deltas.select(*entries.columns))
+        return entries
 
     def _merged(self, version: int) -> DataFrame:
         newest = F.max_by(

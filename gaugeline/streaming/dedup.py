@@ -32,20 +32,23 @@ def collapse_copies(readings: DataFrame) -> DataFrame:
     return readings.mapInArrow(_first_copies, readings.schema)
 
 
-def unique_readings(arrivals: DataFrame, horizon: str, collapse: bool = True) -> DataFrame:
+def unique_readings(arrivals: DataFrame, horizon: str, collapse: bool = True,
+                    keep_time: bool = False) -> DataFrame:
     """Valid readings, first seen per (station_id, s_no).
 
     Invalid rows are filtered first and never enter the state. The watermark is
     on the time of the micro-batch, which a retried batch keeps: no row is ever
     late, however old its own or its arrival time is. A key is forgotten when it
-    was first seen more than ``horizon`` ago.
+    was first seen more than ``horizon`` ago. ``keep_time`` leaves the time of the
+    micro-batch in ``seen_at``.
     """
     readings = accepted(decode(arrivals))
     if collapse:
         readings = collapse_copies(readings)
-    return readings.withColumn("seen_at", F.current_timestamp()) \
+    first = readings.withColumn("seen_at", F.current_timestamp()) \
         .withWatermark("seen_at", horizon) \
-        .dropDuplicatesWithinWatermark(list(DEDUP_KEY)).drop("seen_at")
+        .dropDuplicatesWithinWatermark(list(DEDUP_KEY))
+    return first if keep_time else first.drop("seen_at")
 
 
 def tracked_keys(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:
