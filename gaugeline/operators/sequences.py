@@ -45,22 +45,6 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], into: str,
     )
 
 
-def number_once(df: DataFrame, keys: list[str], order: list[str], into: str,
-                width: int = BLOCK_ROWS) -> DataFrame:
-    """``number_rows`` for input that is dear to compute: rows go to their blocks once, and
-    both the counts per block and the numbering read that one exchange. Rows with a null
-    key are left out."""
-    block = [*keys, "_block"]
-    blocked = df.withColumn("_block", block_of(F.col(order[0]), width)).repartition(*block)
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = blocked.groupBy(*block).agg(F.count("*").alias("_rows")).select(
-        *block, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*block).orderBy(*order)
-    return blocked.join(starts, block).select(
-        *df.columns, (F.col("_start") + F.row_number().over(within)).alias(into))
-
-
 def transmissions(decoded: DataFrame) -> DataFrame:
     """Distinct transmissions with their first offset: redelivered copies go,
     a restarted station that reuses a number with a new time stays."""

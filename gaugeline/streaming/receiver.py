@@ -8,7 +8,9 @@ remembers when a key was first seen and what it said, so it can
 * list what it remembers.
 
 Readings and commands are one stream, dealt by station and a part of the sequence number, so
-that a busy station fills many tasks.
+that a busy station fills many tasks. Times are those of the micro-batch, which a retry keeps.
+What is older than the horizon counts as forgotten, and leaves the state when its part is
+swept, at most every quarter of the horizon.
 """
 
 from __future__ import annotations
@@ -35,32 +37,45 @@ class _Receiver(StatefulProcessor):
         self.horizon_ms = horizon_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "s_no bigint", "digest bigint, first_seen_ms bigint", self.horizon_ms)
+        self.seen = handle.getMapState("seen", "s_no bigint", "digest bigint, first_seen_ms bigint")
+        self.swept = handle.getValueState("swept", "at_ms bigint")
+
+    def _sweep(self, now: int) -> None:
+        if self.swept.exists() and now - self.swept.get()[0] < self.horizon_ms / 4:
+            return
+        old = [number for number, (_, first) in self.seen.iterator() if first <= now - self.horizon_ms]
+        for number in old:
+            self.seen.removeKey(number)
+        self.swept.update((now,))
+
+    def _known(self, number: int, now: int) -> tuple | None:
+        """Digest and time of a message that is remembered."""
+        found = self.seen.getValue((number,)) if self.seen.containsKey((number,)) else None
+        return found if found and found[1] > now - self.horizon_ms else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows))
-        now = timerValues.getCurrentProcessingTimeInMs()
+        now = int(batch.now_ms.iloc[0])
+        self._sweep(now)
         out = []
 
         def add(outcome: str, row, first_seen_ms: int) -> None:
             out.append((outcome, key[0], row.s_no, row.value, row.kafka_partition, row.kafka_offset, first_seen_ms))
         # Commands first: what they forget may come again in the same micro-batch.
         for row in batch[batch.command.notna()].itertuples():
-            numbers = [row.s_no] if row.command == FORGET else [k[0] for k in self.seen.keys()]
+            numbers = [row.s_no] if row.command == FORGET else [k[0] for k in list(self.seen.keys())]
             for number in numbers:
-                if self.seen.containsKey((number,)):
-                    first = self.seen.getValue((number,))[1]
+                if known := self._known(number, now):
                     self.seen.removeKey((number,))
-                    add(FORGOTTEN, row._replace(s_no=number), first)
+                    add(FORGOTTEN, row._replace(s_no=number), known[1])
         readings = batch[batch.command.isna()].sort_values(["kafka_offset", "kafka_partition"])
         for row in readings.drop_duplicates(["s_no", "digest"]).itertuples():
-            if not self.seen.containsKey((row.s_no,)):
+            known = self._known(row.s_no, now)
+            if not known:
                 self.seen.updateValue((row.s_no,), (row.digest, now))
                 add(ACCEPTED, row, now)
-            else:
-                digest, first = self.seen.getValue((row.s_no,))
-                if digest != row.digest:
-                    add(CONFLICT, row, first)
+            elif known[0] != row.digest:
+                add(CONFLICT, row, known[1])
         if out:
             frame = pd.DataFrame(out, columns=["outcome", "station_id", "s_no", "value", "kafka_partition",
                                                "kafka_offset", "first_seen_ms"])
@@ -86,8 +101,8 @@ def received(arrivals: DataFrame, commands: DataFrame | None, horizon_ms: int) -
             "station_id", F.explode(where).alias("part"), F.coalesce("s_no", F.lit(0).cast("bigint")).alias("s_no"),
             "command", none.cast("string").alias("value"), none.cast("int").alias("kafka_partition"),
             none.cast("bigint").alias("kafka_offset"), F.lit(0).cast("bigint").alias("digest")))
-    return messages.groupBy("station_id", "part").transformWithStateInPandas(
-        _Receiver(horizon_ms), OUTCOME, "Append", "ProcessingTime")
+    return messages.withColumn("now_ms", F.unix_millis(F.current_timestamp())) \
+        .groupBy("station_id", "part").transformWithStateInPandas(_Receiver(horizon_ms), OUTCOME, "Append", "None")
 
 
 def remembered(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:
@@ -95,4 +110,4 @@ def remembered(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> Da
     state = spark.read.format("statestore").option("operatorId", operator_id).option("stateVarName", "seen") \
         .load(checkpoint)
     return state.select("key.station_id", F.col("user_map_key.s_no").alias("s_no"),
-                        F.col("user_map_value.value.first_seen_ms").alias("first_seen_ms"))
+                        F.col("user_map_value.first_seen_ms").alias("first_seen_ms"))

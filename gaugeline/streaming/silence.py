@@ -88,7 +88,7 @@ def silence_alarms(arrivals: DataFrame, timeout_ms: int, roster: DataFrame | Non
     also when the whole feed stops, and for stations of ``roster`` (``station_id``, one row
     each) that never send. ``readings`` counts what was heard in all.
 
-    Needs a trigger that keeps running without new data.
+    For triggers that go on: with ``availableNow`` the query would wait for alarms for ever.
     """
     heard = accepted(decode(arrivals)).select("station_id", F.unix_micros("arrival_ts").alias("seen_us")) \
         .mapInArrow(_heard, "station_id bigint, readings bigint, last_seen_us bigint")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.operators.decode import decode
-from gaugeline.operators.sequences import key_conflicts, number_once, number_rows
+from gaugeline.operators.sequences import key_conflicts
 from gaugeline.operators.validate import accepted
 from gaugeline.session import scratch_path, streaming_session
 from gaugeline.sources.arrivals import file_stream, file_table
@@ -103,13 +103,3 @@ def test_conflicts_equal_the_batch_report(spark, feed):
         (F.count_distinct("value") + 1).alias("payloads"))
     wanted = key_conflicts(accepted(decode(file_table(spark, path)))).select("station_id", "s_no", "payloads")
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, wanted.collect())) == [(1, 1, 3), (1, 2, 2)]
-
-
-def test_numbering_from_one_exchange(spark):
-    rows = spark.range(2000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 2003).alias("at"))
-    wanted = number_rows(rows, ["k"], ["at"], "n", width=100)
-    found = number_once(rows, ["k"], ["at"], "n", width=100)
-    assert found.exceptAll(wanted).count() == 0 and found.count() == 2000
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
