@@ -27,23 +27,23 @@ def placed(rows: DataFrame) -> DataFrame:
 
 
 def write_archive(rows: DataFrame, path: str, batch_id: int | None = None,
-                  splits: dict[tuple, int] | None = None, rows_per_file: int = 0,
+                  splits: dict[tuple, int] | int = 1, rows_per_file: int = 0,
                   mode: str = "errorifexists") -> None:
     """Write archive rows.
 
     A batch job rebalances by partition directory: AQE merges small pieces and
     splits a directory that is too large for one task, so a hot station is
     written by many tasks. A micro-batch runs without AQE; there every directory
-    (``year, month, day, station_id``) goes to one task, or to as many as
-    ``splits`` says, and ``batch_id`` becomes a leaf directory that a retry
-    replaces.
+    (``year, month, day, station_id``) goes to as many tasks as ``splits`` says of
+    it (one, if it does not), and ``batch_id`` becomes a leaf directory that a
+    retry replaces.
     """
     out = placed(rows)
     leaves = list(ARCHIVE_PARTITIONS)
     if batch_id is None:
         out = out.hint("rebalance", *ARCHIVE_PARTITIONS)
     else:
-        out = out.repartition(*ARCHIVE_PARTITIONS, _share(splits or {}))
+        out = out.repartition(*ARCHIVE_PARTITIONS, _share(splits))
         out = out.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         leaves.append("batch_id")
         mode = "overwrite"
@@ -55,8 +55,10 @@ def write_archive(rows: DataFrame, path: str, batch_id: int | None = None,
     writer.parquet(path)
 
 
-def _share(splits: dict[tuple, int]) -> Column:
+def _share(splits: dict[tuple, int] | int) -> Column:
     """The share of a large directory a placed row falls into; 0 in all others."""
+    if isinstance(splits, int):
+        return F.pmod(F.col("s_no"), F.lit(splits))
     share = F.lit(0).cast("bigint")
     for directory, parts in splits.items():
         here = F.lit(True)

@@ -49,7 +49,11 @@ class DeadLetterStore:
 
         def within(name: str, schema: StructType, fmt: str) -> DataFrame:
             base = f"{self.root}/{name}"
-            return read_or_empty(self.spark, f"{base}/{folder}", schema, fmt, basePath=base)
+            rows = read_or_empty(self.spark, f"{base}/{folder}", schema, fmt, basePath=base)
+            for column, value in (("dl_date", date), ("stage", stage)):
+                if value is not None:
+                    rows = rows.where(F.col(column) == value)
+            return rows
 
         rows = within("messages", with_field(DEAD_LETTER, "batch_id", LongType()), "json")
         if self.log:
