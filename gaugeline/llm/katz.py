@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_path
 
-CHUNK = 32_000_000      # bytes of text after which a chunk ends (it holds one document at least)
+CHUNK = 5_000_000       # bytes of text after which a chunk ends (it holds one document at least)
 BUCKET = 2_000_000      # tokens of the corpus for each partition of a table
 SPREAD = 100_000        # occurrences of a context for each partition it is spread over
 DISCOUNTED = 5          # larger counts are taken as they are
@@ -311,7 +311,8 @@ def _pair_tables(chunks: DataFrame, replies: DataFrame, buckets: int, spread: in
     chunk's pairs; ``context``: numbers and sums of the contexts."""
     def split(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
                 pairs = _Pairs(row, buckets, spread)
                 yield _pieces(row["chunk"], pairs.bucket, {
                     "context": pairs.context, "word": pairs.follower, "seen": pairs.seen(),
