@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_NAME_END = re.compile(r"[\s/>]")
+_QUOTE_OR_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -54,10 +56,107 @@ class Node:
             parent.parts.append(self)
 
 
+class _Tags:
+    """The tags and other mark-up of a page, found in one pass: no position is looked at again
+    however many tags are left open or quotes unclosed."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.stops = array("q", (m.start() for m in _QUOTE_OR_END.finditer(page)))
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        #: Quotes that, met outside of quotes, lead to no end of a tag.
+        self.dead: set[int] = set()
+        self.named = (0, 0)
+
+    def __iter__(self):
+        """(start, end, name, whether an end tag, attributes); without a name: the text of CDATA."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if page.startswith("<!--", start):
+                at = self._after("-->", start + 4)
+                yield start, at, None, False, ""
+            elif page.startswith("<![CDATA[", start):
+                at = self._after("]]>", start + 9)
+                yield start, at, None, False, page[start + 9:at].removesuffix("]]>")
+            elif page.startswith(("<!", "<?"), start):
+                at = self._after(">", start + 2)
+                yield start, at, None, False, ""
+            elif start < self.last[">"]:
+                closing = page.startswith("/", start + 1)
+                first = start + 1 + closing
+                if page[first:first + 1].isascii() and page[first:first + 1].isalpha():
+                    after = self._name_end(first)
+                    end = self._tag_end(after)
+                    if end >= 0:
+                        at = end + 1
+                        yield start, at, page[first:after].lower(), closing, page[after:end]
+
+    def _after(self, mark: str, start: int) -> int:
+        found = self.page.find(mark, start)
+        return len(self.page) if found < 0 else found + len(mark)
+
+    def _name_end(self, first: int) -> int:
+        low, high = self.named
+        if not low <= first < high:
+            found = _NAME_END.search(self.page, first)
+            self.named = first, found.start() if found else len(self.page)
+        return self.named[1]
+
+    def _tag_end(self, at: int) -> int:
+        """The next > outside of quotes, or -1 if there is none."""
+        page, passed = self.page, []
+        while True:
+            place = bisect_left(self.stops, at)
+            if place == len(self.stops):
+                break
+            stop = self.stops[place]
+            mark = page[stop]
+            if mark == ">":
+                return stop
+            passed.append(stop)
+            if stop in self.dead or stop == self.last[mark]:
+                break
+            at = page.index(mark, stop + 1) + 1
+        self.dead.update(passed)
+        return -1
+
+
+class _Open:
+    """The open elements, with the places of each name and of the blocks among them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, Node | None]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def push(self, name: str, own: Node | None) -> None:
+        self.places[name].append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, own))
+
+    def pop(self) -> tuple[str, Node | None]:
+        name, own = self.stack.pop()
+        self.places[name].pop()
+        if name in BLOCKS:
+            self.blocks.pop()
+        return name, own
+
+    def last(self, names) -> int:
+        """The place of the innermost of the named elements, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def first_after(self, names, place: int) -> int:
+        """The place of the outermost of the named elements within another, or -1."""
+        found = [p[k] for n in names if (p := self.places.get(n)) and (k := bisect_right(p, place)) < len(p)]
+        return min(found, default=-1)
+
+
 def parsed(page: str | None) -> Node:
     """The tree of a page; its root stands for the document."""
     root = node = Node("html", None)
-    stack: list[tuple[str, Node | None]] = []  # open elements, with the node of a block
+    opened = _Open()
     silent = links = at = 0
     page = page or ""
 
@@ -73,9 +172,10 @@ def parsed(page: str | None) -> Node:
         if links:
             node.link_chars += size
 
-    def close(position: int) -> None:
+    def close(place: int) -> None:
         nonlocal node, silent, links
-        for name, own in stack[position:]:
+        while len(opened.stack) > place:
+            name, own = opened.pop()
             if own is not None:
                 node = own.parent
                 links = 0
@@ -83,75 +183,50 @@ def parsed(page: str | None) -> Node:
                 silent -= 1
             elif name == "a" and links:
                 links -= 1
-        del stack[position:]
-        for _, own in reversed(stack):
-            if own is not None:
-                node = own
-                break
 
-    for match in _TOKEN.finditer(page):
-        if match.start() < at:
+    tags = _Tags(page)
+    for start, end, name, closing, attributes in tags:
+        if start < at:
             continue
-        text(page[at:match.start()])
-        at = match.end()
-        name = match[2]
+        text(page[at:start])
+        at = end
         if name is None:
-            if match[0].startswith("<![CDATA["):
-                text(match[0][9:].removesuffix("]]>"))
-            continue
-        name = name.lower()
-        if match[1]:
+            text(attributes)
+        elif closing:
             if name == "br":
                 text("\n")
-            for position in range(len(stack) - 1, -1, -1):
-                if stack[position][0] == name:
-                    close(position)
-                    break
-                if stack[position][0] in _TABLES and name in ("div", "p", "span"):
-                    break
-            continue
-        if name in ("html", "body"):
+            place = opened.last((name,))
+            if place >= 0 and not (name in ("div", "p", "span") and opened.last(_TABLES) > place):
+                close(place)
+        elif name in ("html", "body"):
             # Their end tags never matter, what follows is still the page.
-            node.tokens |= _named(match[3])[0] if node is root else frozenset()
-            continue
-        if name in BLOCKS:
-            closing = _CLOSES.get(name)
-            limit = _SCOPES.get(name, _TABLES)
-            for position in range(len(stack) - 1, -1, -1):
-                own = stack[position][0]
-                if own == "p" and name != "p" or own == "p":
-                    close(position)
-                    break
-                if own in BLOCKS:
-                    break
-            if closing:
-                low = None
-                for position in range(len(stack) - 1, -1, -1):
-                    if stack[position][0] in limit:
-                        break
-                    if stack[position][0] in closing:
-                        low = position
-                if low is not None:
+            node.tokens |= _named(attributes)[0] if node is root else frozenset()
+        elif name in BLOCKS:
+            if opened.blocks and opened.stack[opened.blocks[-1]][0] == "p":
+                close(opened.blocks[-1])
+            if name in _CLOSES:
+                low = opened.first_after(_CLOSES[name], opened.last(_SCOPES.get(name, _TABLES)))
+                if low >= 0:
                     close(low)
             if name in VOID:
                 node.parts.append(Node(name, None))
                 continue
-            tokens, hidden = _named(match[3])
+            tokens, hidden = _named(attributes)
             node = Node(name, node, tokens, hidden or node.hidden)
             node.index = 0
-            stack.append((name, node))
+            opened.push(name, node)
         elif name in VOID:
             if name in ("br", "wbr") and not silent:
                 text("\n" if name == "br" else "")
         elif name in SILENT:
             if name in _RAW:
-                end = _RAW[name].search(page, at)
-                at = end.end() if end else len(page)
-            elif not match[3].rstrip().endswith("/"):
-                stack.append((name, None))
+                found = _RAW[name].search(page, at, tags.last[">"] + 1)
+                at = found.end() if found else len(page)
+            elif not attributes.rstrip().endswith("/"):
+                opened.push(name, None)
                 silent += 1
         else:
-            stack.append((name, None))
+            opened.push(name, None)
             if name == "a":
                 links += 1
                 node.links += 1
