@@ -36,9 +36,10 @@ class CommitLog:
         found = read_or_empty(self.spark, self._path(kind), COMMIT, ignoreMissingFiles="true")
         return found.agg(F.coalesce(F.max("number"), F.lit(NONE))).first()[0]
 
-    def commit(self, kind: str, number: int) -> None:
-        """Make everything written under ``number`` visible; doing it again changes nothing."""
-        if number > self.last(kind):
+    def commit(self, kind: str, number: int, last: int | None = None) -> None:
+        """Make everything written under ``number`` visible; doing it again changes nothing.
+        A writer that knows the ``last`` number saves the reading of it."""
+        if number > (self.last(kind) if last is None else last):
             row = self.spark.range(1).select(F.lit(number).cast("bigint").alias("number"),
                                              F.unix_millis(F.current_timestamp()).alias("committed_at_ms"))
             row.coalesce(1).write.mode("overwrite").parquet(f"{self._path(kind)}/slot={number % self.slots}")

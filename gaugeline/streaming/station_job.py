@@ -43,6 +43,7 @@ class FanOut:
         self.root = root.rstrip("/")
         self.settings = settings
         self._rows = 0
+        self._last: int | None = None  # committed; this job is the only writer
         self.log = CommitLog(spark, f"{self.root}/commits")
         self.archive = LiveArchive(spark, f"{self.root}/archive", self.log)
         self.latest = LatestStore(spark, f"{self.root}/latest", self.log)
@@ -52,7 +53,9 @@ class FanOut:
         self._route = route_writer or self._write_routed
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= self.log.last(BATCH):
+        if self._last is None:
+            self._last = self.log.last(BATCH)
+        if batch_id <= self._last:
             return
         batch = batch.persist()
         try:
@@ -61,7 +64,8 @@ class FanOut:
                 self._route(batch, batch_id)
                 archived = self._try(self._archive, batch, batch_id, STAGE_ARCHIVE)
                 self._try(self._latest, batch, batch_id, STAGE_LATEST, record=archived)
-            self.log.commit(BATCH, batch_id)
+            self.log.commit(BATCH, batch_id, self._last)
+            self._last = batch_id
         finally:
             batch.unpersist()
         if (batch_id + 1) % self.settings.compact_latest_every == 0:
