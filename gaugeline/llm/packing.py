@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import encoder
+from .tokens import encoder, runs
 
 WINDOW, MAX_OPEN, END = 1024, 1024, 0
-#: Texts encoded together, in characters.
-CHUNK_CHARS = 400_000
+#: Texts encoded together, in bytes.
+RUN_BYTES = 4_000_000
 
 _COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -131,38 +131,28 @@ def packed(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             for number, pieces in closed:
                 offset = 0
                 for document, start, ids, size in pieces:
-                    yield (document, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), size,
+                    yield (document, start, len(ids), zlib.crc32(ids.astype("<u4", copy=False)), size,
                            base + number, offset, ids)
                     offset += len(ids)
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            out = []
-            for documents, texts in chunks(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids, lengths = pieces_of.encode(texts)
-                stops = np.cumsum(lengths)
-                for document, stop, length in zip(documents, stops, lengths):
-                    own = np.append(ids[stop - length:stop], np.uint32(end))
-                    out.extend(rows_of(packer.add(document, own)))
-            yield _batch(out, kind, with_ids)
+            names = batch.column("doc_id").to_pylist()
+            for start, stop in runs(batch.column("text"), RUN_BYTES):
+                ids, ends = with_end(*pieces_of.encode(batch.column("text").slice(start, stop - start)), end)
+                out = []
+                for document, low, high in zip(names[start:stop], ends, ends[1:]):
+                    out.extend(rows_of(packer.add(document, ids[low:high])))
+                yield _batch(out, kind, with_ids)
         if packer.n_open:
             yield _batch(list(rows_of(packer.flush())), kind, with_ids)
     return rows.mapInArrow(run, schema)
 
 
-def chunks(documents: list, texts, limit: int = CHUNK_CHARS):
-    """The documents of a batch in runs of bounded length; null texts are empty."""
-    names, run, size = [], [], 0
-    for name, text in zip(documents, texts):
-        text = text.as_py() or ""
-        names.append(name)
-        run.append(text)
-        size += len(text)
-        if size >= limit:
-            yield names, run
-            names, run, size = [], [], 0
-    if names:
-        yield names, run
+def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, list[int]]:
+    """The ids with the end id behind each document, and the places where documents begin."""
+    ends = np.cumsum(lengths)
+    return np.insert(ids, ends, ids.dtype.type(end)), [0, *(ends + np.arange(1, len(ends) + 1)).tolist()]
 
 
 def _batch(rows: list[tuple], kind: pa.DataType, with_ids: bool) -> pa.RecordBatch:

@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialise
-from .packing import chunks
-from .tokens import encoder
+from .packing import RUN_BYTES, with_end
+from .tokens import encoder, runs
 
 END = 1
-#: The dictionary's sample: documents, ids of each, and the size of the dictionary.
-SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 1_000, 4_096, 65_536
+#: The dictionary's sample: documents, pieces of each at most, ids of a piece; the dictionary's size.
+SAMPLE_DOCS, PIECES, SAMPLE_IDS, DICTIONARY_BYTES = 1_000, 16, 1_024, 65_536
 DOCS_PER_SHARD, MAX_SHARDS, BLOCK_BYTES = 1_024, 4_096, 1 << 20
 
 _BLOCKS = ("shard int, block int, first_id bigint, last_id bigint, dictionary_hash string, width int, "
@@ -47,19 +47,14 @@ def _encoded(docs: DataFrame, tokenizer: str, end: int, width: int, dictionary:
         pieces = encoder(tokenizer)
         press = None if dictionary is None else _compressor(zstandard, dictionary)
         for batch in batches:
-            names, counts, frames = batch.column("doc_id"), [], []
-            for _, texts in chunks(list(range(len(names))), batch.column("text")):
-                ids, lengths = pieces.encode(texts)
-                ids = ids.astype(f"<u{width}")
-                stop = 0
-                for length in lengths:
-                    start, stop = stop, stop + int(length)
-                    own = np.append(ids[start:stop], np.array(end, ids.dtype)).tobytes()
-                    counts.append(len(own) // width)
-                    frames.append(own if press is None else press.compress(own))
-            yield pa.RecordBatch.from_arrays(
-                [names, pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
-                names=["doc_id", "n_tokens", "frame"])
+            for start, stop in runs(batch.column("text"), RUN_BYTES):
+                ids, ends = with_end(*pieces.encode(batch.column("text").slice(start, stop - start)), end)
+                data, places = memoryview(ids.astype(f"<u{width}").tobytes()), [width * e for e in ends]
+                frames = [data[low:high] for low, high in zip(places, places[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(start, stop - start), pa.array(np.diff(ends)),
+                     pa.array([bytes(f) if press is None else press.compress(f) for f in frames], pa.binary())],
+                    names=["doc_id", "n_tokens", "frame"])
     return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, frame binary")
 
 
@@ -71,9 +66,16 @@ def _compressor(zstandard, dictionary: bytes):
 def train_dictionary(docs: DataFrame, tokenizer: str, end: int, width: int) -> bytes:
     """A dictionary from a sample chosen by hash; empty when the sample is too small."""
     import zstandard
-    sample = docs.orderBy(F.xxhash64("doc_id", F.length("text")), "doc_id").limit(SAMPLE_DOCS)
-    rows = _encoded(sample.repartition(8), tokenizer, end, width, None).select(
-        "doc_id", F.substring("frame", 1, SAMPLE_IDS * width).alias("ids")).collect()
+    # The sample is chosen by ids alone, so that no text is sorted or sent.
+    chosen = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    # Pieces from all over a document, evenly spread if it has more than PIECES of them.
+    step = F.greatest(F.lit(SAMPLE_IDS), F.ceil(F.col("n_tokens") / PIECES).cast("int")).cast("bigint")
+    places = F.sequence(F.lit(0).cast("bigint"), F.col("n_tokens") - 1, step)
+    piece = F.expr(f"substring(frame, int(place * {width} + 1), {SAMPLE_IDS * width})")
+    rows = _encoded(sample, tokenizer, end, width, None).select(
+        "doc_id", "frame", F.explode(places).alias("place")).select("doc_id", piece.alias("ids")).collect()
     samples = [bytes(r["ids"]) for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["ids"]))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()

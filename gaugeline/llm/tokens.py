@@ -2,26 +2,35 @@
 
 A pre-tokenizer that splits on words never joins a space to the non-space
 character before it, so a text may be cut there and its pieces encoded alone:
-the ids are those of the whole text. Pieces repeat far more often than texts, and
-one worker process keeps the ids of those it has met. The memory holds at most
-``limit`` pieces and then starts afresh, which changes no result.
+the ids are those of the whole text. Arrow cuts the texts and finds the distinct pieces of
+a run of texts; only those that the memory lacks meet the tokenizer.
+
+The memory is three flat arrays (the pieces, their ids, and where these start). Beyond
+``limit`` bytes it keeps the newer half, which changes no result. A worker process keeps it
+for its next task. Arrow hashes the whole memory for every run of texts, so runs should be
+long.
 """
 
 from __future__ import annotations
 
 import re
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces remembered by one worker process.
-MEMORY = 1_000_000
+#: Bytes of remembered pieces and ids of one worker process.
+MEMORY = 48_000_000
+#: New pieces given to the tokenizer at once.
+TOGETHER = 10_000
 
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
+#: White space other than a space, or a space, and then a space.
+_SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) ")
-#: A word and the ASCII punctuation behind it, which is a token of its own.
-_TAIL = re.compile(r"(.*[^\W\d_])([!-/:-@\[-`{-~]+)", re.DOTALL)
+#: ASCII punctuation; behind a letter it begins a token of its own.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class PieceEncoder:
@@ -33,90 +42,117 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
+        self.pieces = pa.array([], pa.string())
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and the number of ids of each; null texts
+        are empty."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _SPACE_AFTER_SPACE).to_numpy(zero_copy_only=False)
+        if odd.any():
+            lists = pa.array([_CUT.split(t.as_py()) if o else t.as_py().split(" ") for t, o in zip(texts, odd)],
+                             pa.list_(pa.string()))
+        else:
+            lists = pc.split_pattern(texts, " ")
+        flat = lists.flatten()
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        stops = np.concatenate([[0], np.cumsum(counts)])
+        if not len(flat):
+            return np.zeros(0, np.uint32), counts
+        # All but the first piece of a text have a space before them.
+        first = np.zeros(len(flat), bool)
+        first[stops[:-1]] = True
+        coded = pc.replace_with_mask(pc.binary_join_element_wise("", flat, " "), pa.array(first),
+                                     flat.take(pa.array(stops[:-1]))).dictionary_encode()
+        slots = self._known(coded.dictionary)[coded.indices.to_numpy()]
+        ids, lengths = self._gather(slots)
+        before = np.concatenate([[0], np.cumsum(lengths)])
         self._forget()
+        return ids, np.diff(before[stops])
+
+    def _known(self, pieces: pa.Array) -> np.ndarray:
+        """Places in the memory of distinct pieces, after what was unknown has been learned."""
+        parts, words, tails = _parted(pieces)
+        # The pieces come first, in their order; the memory is searched once for all.
+        wanted = pc.unique(pa.concat_arrays([pieces, words, tails]))
+        place = _places(wanted, self.pieces)
+        parted = np.zeros(len(wanted), bool)
+        parted[:len(pieces)] = parts.to_numpy(zero_copy_only=False)
+        new = np.flatnonzero((place < 0) & ~parted)
+        place[new] = np.arange(len(new)) + len(self.pieces)
+        self._encode(wanted.take(pa.array(new)))
+        joined = np.flatnonzero((place < 0) & parted)
+        if joined.size:
+            fresh = place[:len(pieces)][parted[:len(pieces)]] < 0
+            both = place[_places(pa.concat_arrays([words.filter(pa.array(fresh)), tails.filter(pa.array(fresh))]),
+                                 wanted)].reshape(2, -1).T
+            ids, lengths = self._gather(both.ravel())
+            place[joined] = np.arange(len(joined)) + len(self.pieces)
+            self._store(wanted.take(pa.array(joined)), ids, lengths.reshape(-1, 2).sum(1))
+        return place[:len(pieces)]
+
+    def _encode(self, pieces: pa.Array) -> None:
+        for start in range(0, len(pieces), TOGETHER):
+            some = pieces.slice(start, TOGETHER)
+            rows = [e.ids for e in self.tokenizer.encode_batch_fast(some.to_pylist(), add_special_tokens=False)]
+            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+            self._store(some, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
+
+    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.ends[slots + 1] - self.ends[slots]
+        stops = np.cumsum(lengths)
+        places = np.arange(int(stops[-1]) if stops.size else 0)
+        places += np.repeat(self.ends[slots] - (stops - lengths), lengths)
+        return self.ids[places], lengths
+
+    def _store(self, pieces: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
 
     def _forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 12, np.int64)
-        self.length = np.zeros(1 << 12, np.int64)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, and the number of ids of each."""
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            cut = _CUT.split(text) if _spaced_oddly(text) else text.split(" ")
-            counts[k] = len(cut)
-            # Only the first piece has no space before it.
-            pieces.append("\0" + cut[0])
-            pieces.extend(cut[1:])
-        if len(self.slot) > self.limit:
-            self._forget()
-        slots = np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
-        unknown = np.flatnonzero(slots < 0)
-        if unknown.size:
-            self._learn(list(dict.fromkeys(pieces[i] for i in unknown)))
-            slots[unknown] = [self.slot[pieces[i]] for i in unknown]
-        before = np.concatenate([[0], np.cumsum(self.length[slots])])
-        stops = np.concatenate([[0], np.cumsum(counts)])
-        return self._gather(slots), np.diff(before[stops])
-
-    def _learn(self, pieces: list[str]) -> None:
-        parted, plain = [], {}
-        for piece in pieces:
-            if match := _TAIL.fullmatch(piece):
-                parted.append((piece, match[1], "\0" + match[2]))
-            else:
-                plain[piece] = None
-        plain.update(dict.fromkeys(part for _, *both in parted for part in both))
-        new = [piece for piece in plain if piece not in self.slot]
-        encoded = self.tokenizer.encode_batch_fast(
-            [piece[1:] if piece[:1] == "\0" else " " + piece for piece in new], add_special_tokens=False)
-        rows = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        self._store(new, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
-        if parted:
-            slots = np.array([(self.slot[word], self.slot[tail]) for _, word, tail in parted])
-            self._store([piece for piece, _, _ in parted], self._gather(slots.ravel()),
-                        self.length[slots].sum(axis=1))
-
-    def _gather(self, slots: np.ndarray) -> np.ndarray:
-        lengths = self.length[slots]
-        ends = np.cumsum(lengths)
-        places = np.arange(int(ends[-1]) if ends.size else 0)
-        places += np.repeat(self.start[slots] - (ends - lengths), lengths)
-        return self.ids[places]
-
-    def _store(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first = len(self.slot)
-        self.ids = _roomy(self.ids, self.used + len(ids))
-        self.start = _roomy(self.start, first + len(pieces))
-        self.length = _roomy(self.length, first + len(pieces))
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.start[first:first + len(pieces)] = self.used + np.cumsum(lengths) - lengths
-        self.length[first:first + len(pieces)] = lengths
-        self.used += len(ids)
-        self.slot.update(zip(pieces, range(first, first + len(pieces))))
-
-
-def _spaced_oddly(text: str) -> bool:
-    """Whether a space follows other white space."""
-    if text.isascii():
-        return "  " in text or any(c + " " in text for c in "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
-    return bool(_SPACE_AFTER_SPACE.search(text))
-
-
-def _roomy(array: np.ndarray, size: int) -> np.ndarray:
-    if size <= len(array):
-        return array
-    grown = np.zeros(max(size, 2 * len(array)), array.dtype)
-    grown[:len(array)] = array
-    return grown
-
-
-@lru_cache(maxsize=2)
+        if self.pieces.nbytes + self.ids.nbytes + self.ends.nbytes > self.limit:
+            half = len(self.pieces) // 2
+            self.pieces = pa.concat_arrays([self.pieces.slice(half)])
+            self.ids, self.ends = self.ids[self.ends[half]:].copy(), self.ends[half:] - self.ends[half]
+
+
+def _places(values: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where values are found among others, -1 for those that are not."""
+    return pc.fill_null(pc.index_in(values, among), -1).to_numpy().astype(np.int64)
+
+
+def _parted(pieces: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Which pieces are words that end in a letter and have punctuation behind; the words and
+    the punctuation. The one letter that lower case turns into a letter and a mark is left out."""
+    words = pc.utf8_rtrim(pieces, _MARKS)
+    last = pc.utf8_slice_codeunits(words, -1, None)
+    parts = pc.and_(pc.not_equal(words, pieces), pc.and_(pc.utf8_is_alpha(last), pc.not_equal(last, "\u0130")))
+    words, whole = words.filter(parts), pieces.filter(parts)
+    ends = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1].astype(np.int64)
+    sizes = ends[1:] - ends[:-1] - pc.binary_length(words).to_numpy()
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.arange(stops[-1]) + np.repeat(ends[1:] - stops[1:], sizes)
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[places]
+    tails = pa.Array.from_buffers(pa.string(), len(whole), [None, pa.py_buffer(stops.astype(np.int32)),
+                                                             pa.py_buffer(data)])
+    return parts, words, tails
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> PieceEncoder:
     """The encoder that this worker process keeps for a tokenizer file."""
     return PieceEncoder(path)
+
+
+def runs(texts: pa.Array, limit: int):
+    """Places of first and last + 1 of consecutive texts of together about ``limit`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        done = ends[start - 1] if start else 0
+        stop = min(len(texts), int(np.searchsorted(ends, done + limit, "right")) + 1)
+        yield start, stop
+        start = stop
