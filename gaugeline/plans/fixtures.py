@@ -34,7 +34,9 @@ STOPPED_MS = 1_706_140_800_000  # 2024-01-25
 ENROLLED_MS = 1_704_067_200_000  # 2024-01-01
 AS_OF_MS = 1_706_659_200_000  # 2024-01-31
 STATIONS = 10
-FEED_FILES = 8
+FEED_FILES = 8  # at least; a multiple of it where a file would hold more than FEED_ROWS
+FEED_ROWS = 100_000
+BATCH_FILES = 20  # of a micro-batch, so that it does not grow with the feed
 REPLAYED_DATE = "2024-01-12"
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -88,21 +90,34 @@ def arrivals_path(spark: SparkSession, sf_dir: str) -> str:
                  lambda path: derive_arrivals(spark, sf_dir).write.parquet(path))
 
 
+def feed_share(spark: SparkSession, sf_dir: str) -> int:
+    """Files that hold an eighth of the feed: more of them, and not larger ones, in a larger feed."""
+    return max(1, -(-arrivals(spark, sf_dir).count() // (FEED_FILES * FEED_ROWS)))
+
+
+def batch_files(spark: SparkSession, sf_dir: str, eighths: int) -> int:
+    """Files of a micro-batch that takes so many eighths of the feed, or less of a large one."""
+    return max(eighths, min(eighths * feed_share(spark, sf_dir), BATCH_FILES))
+
+
+def write_feed(spark: SparkSession, sf_dir: str, rows: DataFrame, path: str) -> None:
+    rows.repartitionByRange(FEED_FILES * feed_share(spark, sf_dir), "kafka_offset").write.parquet(path)
+
+
 def feed_path(spark: SparkSession, sf_dir: str) -> str:
-    """The arrivals as a feed of ``FEED_FILES`` files, for streams of several micro-batches."""
-    return once(spark, sf_dir, "feed", lambda path: arrivals(spark, sf_dir)
-                .repartitionByRange(FEED_FILES, "kafka_offset").write.parquet(path))
+    """The arrivals as a feed of files, for streams of several micro-batches."""
+    return once(spark, sf_dir, "feed", lambda path: write_feed(spark, sf_dir, arrivals(spark, sf_dir), path))
 
 
 def late_feed_path(spark: SparkSession, sf_dir: str) -> str:
-    """The same feed written newest first: every file is older than all before it."""
+    """The same feed written newest first: every eighth is older than all before it."""
     def write(path: str) -> None:
         rows = arrivals(spark, sf_dir)
         low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-        step = (high - low) // FEED_FILES + 1
+        step, share = (high - low) // FEED_FILES + 1, feed_share(spark, sf_dir)
         for n in reversed(range(FEED_FILES)):
             rows.where(F.col("kafka_offset").between(low + step * n, low + step * (n + 1) - 1)) \
-                .coalesce(1).write.mode("append").parquet(path)
+                .repartition(share).write.mode("append").parquet(path)
     return once(spark, sf_dir, "late-feed", write)
 
 
@@ -182,8 +197,8 @@ def misnamed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def misnamed_feed_path(spark: SparkSession, sf_dir: str) -> str:
-    return once(spark, sf_dir, "misnamed-feed", lambda path: misnamed_arrivals(spark, sf_dir)
-                .repartitionByRange(FEED_FILES, "kafka_offset").write.parquet(path))
+    return once(spark, sf_dir, "misnamed-feed",
+                lambda path: write_feed(spark, sf_dir, misnamed_arrivals(spark, sf_dir), path))
 
 
 def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:

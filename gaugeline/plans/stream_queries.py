@@ -32,8 +32,9 @@ HORIZON_MS = 6 * 3_600_000
 MERGE_BEFORE = datetime.date(2024, 1, 20)
 
 
-def _source(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    return _feed(spark, fx.feed_path(spark, sf_dir), files_per_batch)
+def _source(spark: SparkSession, sf_dir: str, eighths: int | None = None) -> DataFrame:
+    """The feed, in micro-batches of some eighths of it if given."""
+    return _feed(spark, fx.feed_path(spark, sf_dir), eighths and fx.batch_files(spark, sf_dir, eighths))
 
 
 def _feed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -50,7 +51,7 @@ def _to_table(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
 
 def _fanout_root(spark: SparkSession, sf_dir: str) -> str:
     def run(root: str) -> None:
-        start_fanout(_source(spark, sf_dir, files_per_batch=4), FanOut(spark, root, SETTINGS),
+        start_fanout(_source(spark, sf_dir, eighths=4), FanOut(spark, root, SETTINGS),
                      f"{root}/checkpoint", DRAIN).awaitTermination()
     return fx.once(spark, sf_dir, "fanout", run)
 
@@ -70,7 +71,7 @@ def stream_invalid(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    readings = dedup.unique_readings(_source(spark, sf_dir, files_per_batch=4), SETTINGS.dedup_horizon)
+    readings = dedup.unique_readings(_source(spark, sf_dir, eighths=4), SETTINGS.dedup_horizon)
     return _to_table(spark, readings.select(*DEDUP_KEY, "value"), "stream-dedup")
 
 
@@ -115,8 +116,9 @@ def stream_dlq(spark, sf_dir):
 
 @query
 def stream_late(spark, sf_dir):
-    """Every micro-batch is older than the one before, and none of its rows is lost."""
-    readings = dedup.unique_readings(_feed(spark, fx.late_feed_path(spark, sf_dir), 1), SETTINGS.dedup_horizon)
+    """Every eighth of the feed is older than the one before, and none of its rows is lost."""
+    readings = dedup.unique_readings(_feed(spark, fx.late_feed_path(spark, sf_dir),
+                                           fx.batch_files(spark, sf_dir, 1)), SETTINGS.dedup_horizon)
     return _to_table(spark, readings.select(*DEDUP_KEY, "value"), "stream-late")
 
 
@@ -135,7 +137,7 @@ def _replayed_root(spark: SparkSession, sf_dir: str) -> str:
             return attempt
         broken = FanOut(spark, root, SETTINGS, archive_writer=failing(archive, lambda n: n % 2 == 1),
                         latest_writer=failing(latest, lambda n: n == 2))
-        start_fanout(_source(spark, sf_dir, files_per_batch=2), broken, f"{root}/checkpoint", DRAIN) \
+        start_fanout(_source(spark, sf_dir, eighths=2), broken, f"{root}/checkpoint", DRAIN) \
             .awaitTermination()
         replayer = Replayer(spark, root, SETTINGS)
         counts = [replayer.pending_dead_letters().count(), replayer.replay_dead_letters(),
@@ -207,7 +209,8 @@ def stream_silent_clock(spark, sf_dir):
     roster = session.range(1, fx.STATIONS + 3).select(F.col("id").alias("station_id"))
     path = scratch_path(spark, "stream-silent-clock")
     alarms = alerts.start(
-        silence.silence_alarms(_feed(spark, fx.feed_path(spark, sf_dir), 2), SILENCE_MS, roster), path,
+        silence.silence_alarms(_feed(spark, fx.feed_path(spark, sf_dir),
+                                     fx.batch_files(spark, sf_dir, 2)), SILENCE_MS, roster), path,
         scratch_path(spark, "stream-silent-clock-checkpoint"), "stream-silent-clock",
         {"processingTime": "1 second"})
     try:
@@ -243,7 +246,7 @@ def stream_conflicts(spark, sf_dir):
     """Keys that come again with another payload, reported as they come."""
     out = scratch_path(spark, "stream-conflicts")
     _receive(spark, fx.misnamed_feed_path(spark, sf_dir), None, "stream-conflicts", out,
-             scratch_path(spark, "stream-conflicts-checkpoint"), files=2)
+             scratch_path(spark, "stream-conflicts-checkpoint"), fx.batch_files(spark, sf_dir, 2))
     rows = spark.read.schema(receiver.OUTCOME).parquet(out).where(F.col("outcome") == receiver.CONFLICT)
     return rows.groupBy("station_id", "s_no").agg((F.count_distinct("value") + 1).alias("payloads"))
 
