@@ -92,7 +92,8 @@ class FanOut:
     def _write_routed(self, batch: DataFrame, batch_id: int) -> None:
         rules = [(ROUTED_RAIN_TOPIC, is_rain(self.settings.rain_threshold))]
         files = -(-self._rows // self.settings.archive_rows_per_task)
-        routed_messages(batch, rules).coalesce(files).write.mode("overwrite") \
+        # Shuffled: a coalesce would have the few tasks that write read all of the batch.
+        routed_messages(batch, rules).repartition(files).write.mode("overwrite") \
             .parquet(f"{self.root}/routed/batch_id={batch_id}")
 
     def _write_archive(self, batch: DataFrame, batch_id: int) -> None:
