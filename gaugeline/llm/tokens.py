@@ -23,12 +23,15 @@ import pyarrow.compute as pc
 
 #: Bytes of remembered pieces and ids of one worker process.
 MEMORY = 48_000_000
-#: New pieces given to the tokenizer at once.
-TOGETHER = 10_000
+#: New pieces given to the tokenizer at once, and those of them that are joined to one text.
+TOGETHER, JOINED = 12_800, 256
 
 #: White space other than a space, or a space, and then a space.
 _SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) ")
+#: A space and a word: pieces that may stand side by side in one text. The one letter that
+#: lower case turns into a letter and a mark is left out.
+_JOINABLE = r"^ [\p{L}]+$"
 #: ASCII punctuation; behind a letter it begins a token of its own.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -41,6 +44,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.begins, self.bounds = _bounds(self.tokenizer)
         self.limit = limit
         self.pieces = pa.array([], pa.string())
         self.ids = np.zeros(0, np.uint32)
@@ -81,8 +85,12 @@ class PieceEncoder:
         parted = np.zeros(len(wanted), bool)
         parted[:len(pieces)] = parts.to_numpy(zero_copy_only=False)
         new = np.flatnonzero((place < 0) & ~parted)
+        joinable = _joinable(wanted.take(pa.array(new))) & (self.bounds is not None)
+        new, n_joinable = np.concatenate([new[joinable], new[~joinable]]), int(joinable.sum())
         place[new] = np.arange(len(new)) + len(self.pieces)
-        self._encode(wanted.take(pa.array(new)))
+        unknown = wanted.take(pa.array(new))
+        self._encode_joined(unknown.slice(0, n_joinable))
+        self._encode(unknown.slice(n_joinable))
         joined = np.flatnonzero((place < 0) & parted)
         if joined.size:
             fresh = place[:len(pieces)][parted[:len(pieces)]] < 0
@@ -93,12 +101,35 @@ class PieceEncoder:
             self._store(wanted.take(pa.array(joined)), ids, lengths.reshape(-1, 2).sum(1))
         return place[:len(pieces)]
 
+    def _encode_joined(self, pieces: pa.Array) -> None:
+        """Learns joinable pieces. Many make one text, whose ids are cut where words begin or
+        end: the library takes longer for every text than for a word."""
+        for start in range(0, len(pieces), TOGETHER):
+            some = pieces.slice(start, TOGETHER)
+            words = some.to_pylist()
+            groups = [words[n:n + JOINED] for n in range(0, len(words), JOINED)]
+            codes = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+            ids, lengths = [], []
+            for group, code in zip(groups, codes):
+                found = np.array(code.ids, np.uint32)
+                cuts = np.flatnonzero(self.bounds[found])
+                if len(cuts) == len(group):
+                    sizes = np.diff(np.append(cuts, len(found)) if self.begins else np.append(-1, cuts))
+                else:  # the library sees several words in a piece
+                    found, sizes = self._alone(group)
+                ids.append(found)
+                lengths.append(sizes)
+            self._store(some, np.concatenate(ids), np.concatenate(lengths))
+
     def _encode(self, pieces: pa.Array) -> None:
         for start in range(0, len(pieces), TOGETHER):
             some = pieces.slice(start, TOGETHER)
-            rows = [e.ids for e in self.tokenizer.encode_batch_fast(some.to_pylist(), add_special_tokens=False)]
-            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-            self._store(some, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
+            self._store(some, *self._alone(some.to_pylist()))
+
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths
 
     def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.ends[slots + 1] - self.ends[slots]
@@ -119,6 +150,26 @@ class PieceEncoder:
             self.ids, self.ends = self.ids[self.ends[half]:].copy(), self.ends[half:] - self.ends[half]
 
 
+def _joinable(pieces: pa.Array) -> np.ndarray:
+    letters = pc.match_substring_regex(pieces, _JOINABLE)
+    return pc.and_not(letters, pc.match_substring(pieces, "\u0130")).to_numpy(zero_copy_only=False)
+
+
+def _bounds(tokenizer) -> tuple[bool, np.ndarray | None]:
+    """Whether words are told apart by the tokens they begin with (a space) or end with (a
+    suffix), and which ids these are; none if a byte has no token, which would then be lost."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    vocab = tokenizer.get_vocab(with_added_tokens=False)
+    letters, space = ByteLevel.alphabet(), "\u0120"
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not all(c in vocab and c + (suffix or "") in vocab for c in letters):
+        return False, None
+    bounds = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+    bounds[[n for word, n in vocab.items() if (word.endswith(suffix) if suffix else word.startswith(space))]] = True
+    return not suffix, bounds
+
+
 def _places(values: pa.Array, among: pa.Array) -> np.ndarray:
     """Where values are found among others, -1 for those that are not."""
     return pc.fill_null(pc.index_in(values, among), -1).to_numpy().astype(np.int64)
